@@ -1,0 +1 @@
+"""Every job of this library is a daily batch; there are no stream operators."""
