@@ -28,7 +28,7 @@ from marketbars.operators.clean import clean_counts, normalize, typed_bars  # no
 from marketbars.plans.daily import mart_from, run_forecast, run_ingest, run_publish  # noqa: E402
 from marketbars.schema import BARS, require_columns, conform  # noqa: E402
 from marketbars.settings import Settings  # noqa: E402
-from marketbars.shared import run_dir  # noqa: E402
+from marketbars.shared import run_dir, stored  # noqa: E402
 from marketbars.sinks.history import update_snapshot  # noqa: E402
 from marketbars.sinks.tables import (  # noqa: E402
     append,
@@ -291,8 +291,13 @@ def _dq_accepted_values(spark: SparkSession, sf: str) -> DataFrame:
     return quality.accepted_values(_events(spark, sf), "event_type", oracle.ACCEPTED)
 
 
+def _dq_forecast_future(spark: SparkSession, sf: str) -> DataFrame:
+    stale = stored(_mart(spark, sf, holdout=oracle.HORIZON), "mart")
+    return _rounded(quality.forecast_not_future(stale))
+
+
 def _dq_report(spark: SparkSession, sf: str) -> DataFrame:
-    stale = _mart(spark, sf, holdout=oracle.HORIZON)
+    stale = stored(_mart(spark, sf, holdout=oracle.HORIZON), "mart")
     checks = quality.MODEL_CHECKS["mart_stock_analysis"]
     return quality.report(stale, checks, mart_rule=True)
 
@@ -386,8 +391,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_not_null": _dq_not_null,
         "dq_unique": _dq_unique,
         "dq_accepted_values": _dq_accepted_values,
-        "dq_forecast_future": lambda s, d: _rounded(
-            quality.forecast_not_future(_mart(s, d, holdout=oracle.HORIZON))),
+        "dq_forecast_future": _dq_forecast_future,
         "dq_report": _dq_report,
         "dq_report_stage": _dq_report_stage,
         # snapshot

@@ -32,14 +32,16 @@ def coerce_volume(value: Column, text: bool = True) -> Column:
     return F.round(coerce_number(value, text)).try_cast("bigint")
 
 
-def coerce_day(value: Column) -> Column:
+def coerce_day(value: Column, text: bool = True) -> Column:
     """Timestamp, date or text to date. Text that is no date fails the job.
 
     The failure does not depend on the session's ANSI setting.
     """
+    if not text:
+        return value.cast("date")
     day = value.try_cast("date")
     bad = value.isNotNull() & day.isNull()
-    message = F.concat(F.lit("not a date: "), value.cast("string"))
+    message = F.concat(F.lit("not a date: "), value)
     return F.when(bad, F.raise_error(message).cast("date")).otherwise(day)
 
 

@@ -13,22 +13,35 @@ from marketbars.schema import REQUIRED_FIELDS, require_columns
 BAR_COLUMNS = ("symbol", "date", "open", "close", "low", "high", "volume")
 
 
+def _day(incoming: DataFrame) -> Column:
+    text = isinstance(_types(incoming)["date"], T.StringType)
+    return coerce_day(F.col("date"), text).alias("date")
+
+
+def _types(incoming: DataFrame) -> dict[str, T.DataType]:
+    return {f.name.lower(): f.dataType for f in incoming.schema}
+
+
 def typed_bars(incoming: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Check the contract, then rename, coerce and project every row."""
+    """Check the contract, then rename, coerce and project every row.
+
+    Columns that arrive typed are cast directly; only text is parsed.
+    """
     require_columns(incoming, ("symbol", *REQUIRED_FIELDS))
-    types = {f.name.lower(): f.dataType for f in incoming.schema}
+    types = _types(incoming)
 
     def number(name: str) -> Column:
         text = not isinstance(types[name], T.NumericType)
         value = F.col(name).cast("string") if text else F.col(name)
-        coerce = coerce_volume if name == "volume" else coerce_number
-        if isinstance(types[name], T.IntegralType) and name == "volume":
+        if name != "volume":
+            return coerce_number(value, text).alias(name)
+        if isinstance(types[name], T.IntegralType):
             return value.cast("bigint").alias(name)
-        return coerce(value, text).alias(name)
+        return coerce_volume(value, text).alias(name)
 
     return incoming.select(
         tidy_symbol(F.col("symbol")).alias("symbol"),
-        coerce_day(F.col("date")).alias("date"),
+        _day(incoming),
         *[number(c) for c in BAR_COLUMNS[2:]],
         *keep,
     )
@@ -52,7 +65,7 @@ def clean_counts(incoming: DataFrame) -> DataFrame:
     per_key = (
         incoming.select(
             tidy_symbol(F.col("symbol")).alias("symbol"),
-            coerce_day(F.col("date")).alias("date"),
+            _day(incoming),
         )
         .groupBy("symbol", "date")
         .agg(F.count(F.lit(1)).alias("n"))

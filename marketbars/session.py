@@ -20,6 +20,7 @@ def local_session(name: str, cpus: int | None = None) -> SparkSession:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(f"marketbars-{name}")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")

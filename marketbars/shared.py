@@ -31,16 +31,24 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/marketbars/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """``df`` written once to the shared folder and read back.
+
+    For a result that several later steps read: they scan the columns they
+    need instead of computing it again, and a lost executor costs no
+    recomputation.
+    """
+    path = run_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def small_side(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
-    """Write a summary once, then hint it for broadcast only if it is small.
+    """Store a summary once, then hint it for broadcast only if it is small.
 
     For one-row-per-key summaries of fixed-width columns joined back to their
     big source. Beyond ``max_rows`` no hint is given and the join shuffles, with
     the adaptive skew join splitting hot keys.
     """
-    path = run_dir(df.sparkSession, "summary")
-    df.write.parquet(path)
-    written = df.sparkSession.read.schema(df.schema).parquet(path)
-    if written.count() <= max_rows:
-        return F.broadcast(written)
-    return written
+    summary = stored(df, "summary")
+    return F.broadcast(summary) if summary.count() <= max_rows else summary
