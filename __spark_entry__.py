@@ -89,15 +89,18 @@ def _raw(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.keep_one(_stage(spark, sf))
 
 
-def _final(spark: SparkSession, sf: str, holdout: int = 0) -> DataFrame:
+def _with_predictions(raw: DataFrame, holdout: int = 0) -> DataFrame:
     """History and trend predictions; ``holdout`` makes the model a stale one."""
-    raw = _raw(spark, sf)
-    ahead = fc.predict(fc.fit(staging.train_view(raw), holdout=holdout))
-    return mart.final_union(raw, ahead)
+    return mart.final_union(raw, fc.predict(fc.fit(staging.train_view(raw), holdout=holdout)))
+
+
+def _final(spark: SparkSession, sf: str) -> DataFrame:
+    return _with_predictions(stored(_raw(spark, sf), "raw"))
 
 
 def _mart(spark: SparkSession, sf: str, holdout: int = 0) -> DataFrame:
-    return mart_from(_raw(spark, sf), _final(spark, sf, holdout))
+    raw = stored(_raw(spark, sf), "raw")
+    return mart_from(raw, _with_predictions(raw, holdout))
 
 
 def _snapshot_sources(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -148,7 +151,7 @@ def _read_back(file_format: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def _lookback(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(lookback(_raw(spark, sf), oracle.LOOKBACK_DAYS))
+    return _rounded(lookback(stored(_raw(spark, sf), "raw"), oracle.LOOKBACK_DAYS))
 
 
 def _lookback_as_of(spark: SparkSession, sf: str) -> DataFrame:

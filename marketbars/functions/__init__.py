@@ -6,6 +6,7 @@ from marketbars.functions.columns import (
     coerce_number,
     coerce_volume,
     duplicate_line,
+    nan_to_null,
     null_double,
     strip_quotes,
     symbol_key,
@@ -18,6 +19,7 @@ __all__ = [
     "coerce_number",
     "coerce_volume",
     "duplicate_line",
+    "nan_to_null",
     "null_double",
     "strip_quotes",
     "symbol_key",

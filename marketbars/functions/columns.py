@@ -15,6 +15,11 @@ def symbol_key(symbol: Column, date: Column) -> Column:
     return F.concat(symbol, F.lit("|"), date.cast("string"))
 
 
+def nan_to_null(number: Column) -> Column:
+    """NaN to null. In Spark NaN equals itself, and ``nullif`` evaluates once."""
+    return F.nullif(number, F.lit(float("nan")))
+
+
 def coerce_number(value: Column, text: bool = True) -> Column:
     """Input to double; whatever is not a number becomes null, NaN included.
 
@@ -24,7 +29,7 @@ def coerce_number(value: Column, text: bool = True) -> Column:
     number = value.try_cast("double")
     if text:
         number = F.when(~value.rlike(r"[0-9.][dDfF]\s*$"), number)
-    return F.when(~F.isnan(number), number)
+    return nan_to_null(number)
 
 
 def coerce_volume(value: Column, text: bool = True) -> Column:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from marketbars.functions import add_steps
+from marketbars.functions import add_steps, nan_to_null
 
 # Candidate smoothing weights of the Holt grid.
 HOLT_WEIGHTS = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9)
@@ -217,7 +217,7 @@ def observations(
         df.select(
             F.col(series).alias("series"),
             F.col(ts).cast("date").alias("ts"),
-            F.when(~F.isnan(value), value).alias("value"),
+            nan_to_null(value).alias("value"),
         )
         .where("ts IS NOT NULL")
         .groupBy("series", "ts")
