@@ -117,11 +117,13 @@ def _row_report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
 
 def _keyed_report(df: DataFrame, row_checks: Sequence[Check], key: Check) -> DataFrame:
     """Row-level counters ride along with the group-by of a unique check."""
-    counters = [F.count_if(c.fails()).alias(f"k{i}") for i, c in enumerate(row_checks)]
-    per_key = df.groupBy(key.column).agg(F.count(F.lit(1)).alias("k"), *counters)
-    repeated = F.col(key.column).isNotNull() & (F.col("k") > 1)
+    counters = [F.count_if(c.fails()).alias(f"_failing{i}") for i, c in enumerate(row_checks)]
+    per_key = df.groupBy(F.col(key.column).alias("_key")).agg(
+        F.count(F.lit(1)).alias("_rows"), *counters
+    )
+    repeated = F.col("_key").isNotNull() & (F.col("_rows") > 1)
     totals = per_key.agg(
-        *[F.sum(f"k{i}").alias(f"n{i}") for i in range(len(row_checks))],
+        *[F.sum(f"_failing{i}").alias(f"n{i}") for i in range(len(row_checks))],
         F.count_if(repeated).alias(f"n{len(row_checks)}"),
     )
     return _rows(totals, [*row_checks, key])

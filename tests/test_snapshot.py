@@ -1,0 +1,105 @@
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import bars, closes, exchanges, moment, plan, rows
+from marketbars.operators import snapshot
+from marketbars.operators.quality import QualityError
+from marketbars.settings import Settings
+from marketbars.sinks.history import current_run, update_snapshot
+from marketbars.sinks.tables import ensure_tables
+
+T1, T2, T3 = moment("2025-02-01"), moment("2025-02-02"), moment("2025-02-03T06:30:00")
+
+
+def at(symbol, close, volume, open_=1.0):
+    return (symbol, "2025-01-01", open_, close, 1.0, 1.0, volume)
+
+
+FIRST = [at("k1", 10.0, 100), at("k2", 20.0, 200), at("k3", None, 300), at("k4", None, 400)]
+SECOND = [at("k1", 10.0, 100, open_=7.0), at("k2", 21.0, 200), at("k3", None, 300), at("k5", 5.0, 50)]
+
+
+def summary(df):
+    return sorted(((r["symbol"], r["close"], r["volume"], r["valid_from"], r["valid_to"])
+                   for r in df.collect()), key=str)
+
+
+GOLDEN = sorted([
+    ("k1", 10.0, 100, T1, None), ("k2", 20.0, 200, T1, T2), ("k2", 21.0, 200, T2, None),
+    ("k3", None, 300, T1, None), ("k4", None, 400, T1, None), ("k5", 5.0, 50, T2, None)], key=str)
+
+
+def test_golden(spark):
+    history = snapshot.initial(bars(spark, FIRST), T1)
+    assert history.count() == 4
+    classes = {r["symbol"]: r["kind"] for r in snapshot.changes(history, bars(spark, SECOND)).collect()}
+    assert classes == {"k1": "same", "k2": "change", "k3": "same", "k4": "absent", "k5": "insert"}
+    after = snapshot.apply(history, bars(spark, SECOND), T2)
+    assert summary(after) == GOLDEN
+    assert after.where("symbol = 'k1'").first()["open"] == 1.0  # the stored row is kept
+    again = snapshot.apply(after, bars(spark, SECOND), T3)
+    assert rows(again) == rows(after)
+    assert after.columns == [*history.columns]
+    assert after.select("scd_id").distinct().count() == 6
+
+
+def test_closed_versions_pass_through(spark):
+    after = snapshot.apply(snapshot.initial(bars(spark, FIRST), T1), bars(spark, SECOND), T2)
+    third = snapshot.apply(after, bars(spark, [at("k2", 22.0, 200)]), T3)
+    k2 = [r for r in summary(third) if r[0] == "k2"]
+    assert [(r[1], r[3], r[4]) for r in k2] == [(20.0, T1, T2), (21.0, T2, T3), (22.0, T3, None)]
+
+
+def test_each_side_is_read_once_for_the_open_versions(spark, tmp_path):
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    snapshot.initial(bars(spark, FIRST), T1).write.parquet(a)
+    bars(spark, SECOND).write.parquet(b)
+    df = snapshot.advance(spark.read.parquet(a), spark.read.parquet(b), T2)
+    assert plan(df).count("FileScan") == 2 and exchanges(df) == 2
+
+
+def settings(tmp_path, name):
+    return Settings(base_path=str(tmp_path), database=name, symbols=None)
+
+
+def test_stored_snapshot(spark, tmp_path):
+    cfg = settings(tmp_path, "snap1")
+    ensure_tables(spark, cfg)
+    assert current_run(spark, cfg.snapshot) is None
+    update_snapshot(spark, bars(spark, FIRST), cfg, T1)
+    got = update_snapshot(spark, bars(spark, SECOND), cfg, T2)
+    assert summary(got) == GOLDEN
+    assert summary(spark.table(cfg.snapshot)) == GOLDEN
+    same = update_snapshot(spark, bars(spark, SECOND), cfg, T3)
+    assert summary(same) == GOLDEN
+    with pytest.raises(ValueError, match="not later"):
+        update_snapshot(spark, bars(spark, FIRST), cfg, T2)
+    assert summary(spark.table(cfg.snapshot)) == GOLDEN
+
+
+def test_files_of_a_failed_run_are_not_seen(spark, tmp_path):
+    cfg = settings(tmp_path, "snap2")
+    ensure_tables(spark, cfg)
+    update_snapshot(spark, bars(spark, FIRST), cfg, T1)
+    base = cfg.location("snapshots", "market_data_snapshot") + "_files"
+    junk = spark.table(cfg.snapshot).withColumn("valid_to", F.lit(T2).cast("timestamp_ntz"))
+    for state in ("open", "closed"):
+        junk.write.parquet(f"{base}/run=r20250202T000000000000/state={state}")
+    spark.catalog.refreshTable(cfg.snapshot)
+    assert spark.table(cfg.snapshot).count() == 4
+    assert summary(update_snapshot(spark, bars(spark, SECOND), cfg, T2)) == GOLDEN
+
+
+def test_duplicate_source_keys_are_refused(spark, tmp_path):
+    cfg = settings(tmp_path, "snap3")
+    ensure_tables(spark, cfg)
+    with pytest.raises(QualityError, match="k1"):
+        update_snapshot(spark, bars(spark, FIRST + FIRST[:1]), cfg, T1)
+    assert current_run(spark, cfg.snapshot) is None
+
+
+def test_other_keys_and_check_columns(spark):
+    a = closes(spark, [("A", "2025-01-01", 1.0)]).select("symbol", "open")
+    b = closes(spark, [("A", "2025-01-01", 2.0)]).select("symbol", "open")
+    got = snapshot.changes(snapshot.initial(a, T1, ["symbol"]), b, ["symbol"], ["open"])
+    assert rows(got) == [("A", "change")]
