@@ -204,7 +204,7 @@ def _method(name: str) -> Method:
 
 
 def observations(
-    df: DataFrame, series: str, ts: str, target: str, season: int, holdout: int
+    df: DataFrame, series: str, ts: str, target: str, season: int, holdout: int, keyed: bool
 ) -> DataFrame:
     """Indexed observations, training and held-out parts in separate columns.
 
@@ -212,17 +212,17 @@ def observations(
     that a series without any is reported. Both windows and the later aggregate
     by series share one shuffle.
     """
-    value = F.col(target).cast("double")
-    one_per_day = (
-        df.select(
-            F.col(series).alias("series"),
-            F.col(ts).cast("date").alias("ts"),
-            nan_to_null(value).alias("value"),
+    one_per_day = df.select(
+        F.col(series).alias("series"),
+        F.col(ts).cast("date").alias("ts"),
+        nan_to_null(F.col(target).cast("double")).alias("value"),
+    ).where("ts IS NOT NULL")
+    if keyed:
+        one_per_day = one_per_day.withColumn("n_rows", F.col("value").isNotNull().cast("bigint"))
+    else:
+        one_per_day = one_per_day.groupBy("series", "ts").agg(
+            F.max("value").alias("value"), F.count("value").alias("n_rows")
         )
-        .where("ts IS NOT NULL")
-        .groupBy("series", "ts")
-        .agg(F.max("value").alias("value"), F.count("value").alias("n_rows"))
-    )
     each = W.partitionBy("series")
     in_order = each.orderBy(F.col("value").isNull(), "ts")
     indexed = one_per_day.select(
@@ -250,17 +250,20 @@ def fit(
     min_obs: int | None = None,
     season: int = 7,
     holdout: int = 0,
+    keyed: bool = False,
 ) -> DataFrame:
     """One row per series: its parameters, or the ``reason`` it was skipped.
 
     ``last_ts``, after which forecasts start, is the last row of the series even
     if its target is null. ``holdout`` keeps the last observations of each series
     out of the fit and returns them in ``held_out``, in order; forecasts then
-    start after the last training observation.
+    start after the last training observation. ``keyed`` vouches for one row per
+    series and day, as the duplicate check of the raw table does; it saves the
+    shuffle that would combine repeated days.
     """
     spec = _method(method)
     needed = max(spec.min_obs, min_obs or 0, season + 1 if method == "seasonal_naive" else 0)
-    points = observations(df, series, ts, target, season, holdout)
+    points = observations(df, series, ts, target, season, holdout, keyed)
     in_training = F.col("y").isNotNull()
     trained_ts = F.when(in_training, F.col("ts"))
     grouped = points.groupBy("series").agg(

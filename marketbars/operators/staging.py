@@ -1,11 +1,37 @@
-"""Staging projections over the raw and final tables."""
+"""Staging projections over the raw and final tables.
+
+The columns are SQL expressions, so that the DataFrame form and the stored
+views are one definition.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from marketbars.functions import symbol_key
+_KEY = {
+    "symbol": "upper(symbol)",
+    "date": "CAST(date AS DATE)",
+}
+_PK = {"pk_symbol_date": "concat(upper(symbol), '|', CAST(CAST(date AS DATE) AS STRING))"}
+
+
+def _doubles(*names: str) -> dict[str, str]:
+    return {n: f"CAST({n} AS DOUBLE)" for n in names}
+
+
+HISTORY = {**_KEY, **_doubles("open", "high", "low", "close", "volume"), **_PK}
+FORECAST = {**_KEY, **_doubles("forecast", "lower_bound", "upper_bound"), **_PK}
+
+DATED = "date IS NOT NULL"
+
+
+def _ahead(strict: bool) -> str:
+    unpriced = f"{DATED} AND CAST(actual AS DOUBLE) IS NULL"
+    return f"{unpriced} AND forecast IS NOT NULL" if strict else unpriced
+
+
+def _columns(expressions: dict[str, str]) -> list[str]:
+    return [f"{e} AS {n}" for n, e in expressions.items()]
 
 
 def train_view(raw: DataFrame) -> DataFrame:
@@ -15,15 +41,7 @@ def train_view(raw: DataFrame) -> DataFrame:
 
 def history_rows(raw: DataFrame) -> DataFrame:
     """Typed, keyed history rows, duplicates included."""
-    return (
-        raw.where(F.col("date").isNotNull())
-        .select(
-            F.upper("symbol").alias("symbol"),
-            F.col("date").cast("date").alias("date"),
-            *[F.col(c).cast("double").alias(c) for c in ("open", "high", "low", "close", "volume")],
-        )
-        .withColumn("pk_symbol_date", symbol_key(F.col("symbol"), F.col("date")))
-    )
+    return raw.where(DATED).selectExpr(*_columns(HISTORY))
 
 
 def stg_market_data(raw: DataFrame) -> DataFrame:
@@ -37,19 +55,17 @@ def forecast_rows(final: DataFrame, strict: bool = False) -> DataFrame:
     A history row whose close is null qualifies too, with a null forecast;
     ``strict`` leaves such rows out.
     """
-    rows = final.where(F.col("date").isNotNull() & F.col("actual").cast("double").isNull())
-    if strict:
-        rows = rows.where(F.col("forecast").isNotNull())
-    return (
-        rows.select(
-            F.upper("symbol").alias("symbol"),
-            F.col("date").cast("date").alias("date"),
-            *[F.col(c).cast("double").alias(c) for c in ("forecast", "lower_bound", "upper_bound")],
-        )
-        .withColumn("pk_symbol_date", symbol_key(F.col("symbol"), F.col("date")))
-    )
+    return final.where(_ahead(strict)).selectExpr(*_columns(FORECAST))
 
 
 def stg_market_forecast(final: DataFrame, strict: bool = False) -> DataFrame:
     """Forecast staging: one row per distinct forecast."""
     return forecast_rows(final, strict).distinct()
+
+
+def view_queries(raw: str, final: str, strict: bool = False) -> tuple[str, str]:
+    """The two staging queries over named tables, for stored views."""
+    return (
+        f"SELECT DISTINCT {', '.join(_columns(HISTORY))} FROM {raw} WHERE {DATED}",
+        f"SELECT DISTINCT {', '.join(_columns(FORECAST))} FROM {final} WHERE {_ahead(strict)}",
+    )

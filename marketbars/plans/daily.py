@@ -6,13 +6,14 @@ and a failed stage can be run again alone.
 
 from __future__ import annotations
 
+import logging
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
 from marketbars.operators.clean import normalize
 from marketbars.operators.dedup import keep_one, row_stats
-from marketbars.operators.forecast import fit, predict
+from marketbars.operators.forecast import backtest, fit, predict
 from marketbars.operators.mart import final_union, mart_stock_analysis
 from marketbars.operators.quality import (
     MODEL_CHECKS,
@@ -20,16 +21,12 @@ from marketbars.operators.quality import (
     raise_on_failure,
     report,
 )
-from marketbars.operators.staging import (
-    forecast_rows,
-    history_rows,
-    stg_market_data,
-    stg_market_forecast,
-)
+from marketbars.operators.staging import forecast_rows, history_rows
 from marketbars.settings import Settings
 from marketbars.sinks.history import update_snapshot
 from marketbars.sinks.tables import (
     append,
+    create_staging_views,
     create_train_view,
     empty_table,
     ensure_tables,
@@ -37,6 +34,8 @@ from marketbars.sinks.tables import (
 )
 from marketbars.sources import in_universe, lookback, missing_symbols
 
+log = logging.getLogger(__name__)
+
 
 def run_ingest(spark: SparkSession, incoming: DataFrame, cfg: Settings) -> dict[str, int]:
     """Incoming bars to the stage, then the raw table refreshed from it.
@@ -59,14 +58,24 @@ def run_ingest(spark: SparkSession, incoming: DataFrame, cfg: Settings) -> dict[
     publish(keep_one(stage), cfg.raw, cfg.location("raw", "market_data"))
     raw = spark.table(cfg.raw)
     raise_on_duplicates(raw)
-    return {"staged_rows": staged, **row_stats(raw).first().asDict()}
+    stats = {"staged_rows": staged, **row_stats(raw).first().asDict()}
+    log.info("ingested %s", stats)
+    return stats
 
 
 def run_forecast(spark: SparkSession, cfg: Settings) -> DataFrame:
-    """Fit, predict, and the final table of history and predictions."""
+    """Fit, evaluate, predict, and the final table of history and predictions.
+
+    The ingest has checked that raw holds one row per symbol and day, so the
+    fit need not combine repeats and takes one shuffle.
+    """
     train = create_train_view(spark, cfg)
-    model = fit(train, cfg.method, min_obs=cfg.min_obs)
-    publish(model, cfg.model, cfg.location("analytics", "price_model"))
+    options = {"min_obs": cfg.min_obs, "keyed": True}
+    publish(fit(train, cfg.method, **options), cfg.model, cfg.location("analytics", "price_model"))
+    scores = backtest(train, cfg.method, cfg.horizon, cfg.level, **options)
+    place = cfg.location("analytics", "price_model_metrics")
+    # Series too short to hold anything back have no score.
+    publish(scores, cfg.metrics, place, allow_empty=True)
     ahead = predict(spark.table(cfg.model), cfg.method, cfg.horizon, cfg.level, cfg.calendar)
     publish(ahead, cfg.forecast, cfg.location("adhoc", "market_data_forecast"))
     final = final_union(spark.table(cfg.raw), spark.table(cfg.forecast))
@@ -94,14 +103,12 @@ def run_publish(spark: SparkSession, cfg: Settings, as_of: datetime) -> DataFram
         range_by=("symbol", "date"),
     )
     mart = spark.table(cfg.mart)
-    stg_history = stg_market_data(raw)
-    stg_forecast = stg_market_forecast(final, cfg.strict_forecast)
-    stg_history.createOrReplaceTempView("stg_market_data")
-    stg_forecast.createOrReplaceTempView("stg_market_forecast")
+    stg_history, stg_forecast = create_staging_views(spark, cfg)
     for name, table, rule in (
         ("stg_market_data", stg_history, False),
         ("stg_market_forecast", stg_forecast, False),
         ("mart_stock_analysis", mart, True),
     ):
-        raise_on_failure(report(table, MODEL_CHECKS[name], mart_rule=rule), name)
+        found = raise_on_failure(report(table, MODEL_CHECKS[name], mart_rule=rule), name)
+        log.info("%s passed %d checks", name, len(found))
     return mart

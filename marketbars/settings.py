@@ -26,6 +26,7 @@ class Settings:
     """
 
     base_path: str
+    catalog: str = "spark_catalog"
     database: str = field(default_factory=lambda: os.environ.get("MARKETBARS_DATABASE", "market"))
     symbols: tuple[str, ...] | None = ("AAPL", "NVDA")
     train_days: int = 180
@@ -41,8 +42,8 @@ class Settings:
         return f"{self.database}_{layer}"
 
     def table(self, layer: str, name: str) -> str:
-        """Quoted ``schema.table`` in the current catalog."""
-        return quoted(self.schema(layer), name)
+        """Quoted three-part name."""
+        return quoted(self.catalog, self.schema(layer), name)
 
     def location(self, layer: str, name: str) -> str:
         return f"{self.base_path.rstrip('/')}/{self.schema(layer)}/{name}"
@@ -64,6 +65,18 @@ class Settings:
     def forecast(self) -> str:
         return self.table("adhoc", "market_data_forecast")
 
+    @property
+    def stg_history(self) -> str:
+        return self.table("staging", "stg_market_data")
+
+    @property
+    def stg_forecast(self) -> str:
+        return self.table("staging", "stg_market_forecast")
+
+    @property
+    def metrics(self) -> str:
+        return self.table("analytics", "price_model_metrics")
+
     @property
     def model(self) -> str:
         return self.table("analytics", "price_model")

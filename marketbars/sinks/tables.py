@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketbars.operators.staging import view_queries
 from marketbars.schema import BARS, conform
 from marketbars.settings import Settings, quoted
 
@@ -30,7 +31,7 @@ def ensure_tables(spark: SparkSession, cfg: Settings) -> None:
     """Create the layer schemas and the typed raw and stage tables, if absent."""
     for layer in LAYERS:
         path = f"{cfg.base_path.rstrip('/')}/{cfg.schema(layer)}"
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted(cfg.schema(layer))} LOCATION '{path}'")
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted(cfg.catalog, cfg.schema(layer))} LOCATION '{path}'")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {cfg.stage} ({ddl(BARS)}) USING parquet")
     if not spark.catalog.tableExists(cfg.raw):
         _point(spark, cfg.raw, BARS, f"{cfg.location('raw', 'market_data')}/{new_run()}")
@@ -113,9 +114,21 @@ def _point(spark: SparkSession, table: str, schema: T.StructType, path: str) ->
     spark.sql(f"CREATE TABLE {table} ({ddl(schema)}) USING parquet LOCATION '{path}'")
 
 
+def create_view(spark: SparkSession, view: str, query: str) -> DataFrame:
+    """Create or replace a stored view; it reads its tables anew at each use."""
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS {query}")
+    return spark.table(view)
+
+
 def create_train_view(spark: SparkSession, cfg: Settings) -> DataFrame:
     """The stored view over raw that training reads."""
-    spark.sql(
-        f"CREATE OR REPLACE VIEW {cfg.train_view} AS SELECT symbol, date, close FROM {cfg.raw}"
+    return create_view(spark, cfg.train_view, f"SELECT symbol, date, close FROM {cfg.raw}")
+
+
+def create_staging_views(spark: SparkSession, cfg: Settings) -> tuple[DataFrame, DataFrame]:
+    """The stored staging views of history and of forecasts."""
+    history, ahead = view_queries(cfg.raw, cfg.final, cfg.strict_forecast)
+    return (
+        create_view(spark, cfg.stg_history, history),
+        create_view(spark, cfg.stg_forecast, ahead),
     )
-    return spark.table(cfg.train_view)

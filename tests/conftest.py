@@ -10,6 +10,6 @@ from marketbars.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("tests", cpus=4)
+    session = local_session("tests", cpus=2)
     yield session
     session.stop()

@@ -161,11 +161,18 @@ def test_fit_shuffles_once_on_the_series(spark, tmp_path):
     series(spark, CURVE).write.parquet(path)
     stored = spark.read.parquet(path)
     assert exchanges(fc.forecast(stored)) == 2
+    assert exchanges(fc.forecast(stored, keyed=True)) == 1
     from marketbars.operators.dedup import keep_one
     assert exchanges(fc.forecast(keep_one(stored))) == 2
     assert exchanges(fc.backtest(stored)) == 2
 
 
+def test_keyed_gives_the_same_on_one_row_per_day(spark):
+    df = series(spark, CURVE).unionAll(series(spark, [1.0, None, 3.0], "B"))
+    for method in ("trend", "seasonal_naive"):
+        assert rows(fc.fit(df, method)) == rows(fc.fit(df, method, keyed=True))
+
+
 def test_only_holt_uses_python(spark):
     df = series(spark, CURVE)
     for method in ("trend", "drift", "seasonal_naive"):

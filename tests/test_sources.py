@@ -140,7 +140,7 @@ def test_flatten_one_symbol_or_drop_the_level(spark):
 def test_settings(monkeypatch):
     monkeypatch.setenv("MARKETBARS_DATABASE", "desk")
     cfg = Settings(base_path="/data/")
-    assert cfg.raw == "`desk_raw`.`market_data`"
+    assert cfg.raw == "`spark_catalog`.`desk_raw`.`market_data`"
     assert cfg.location("raw", "market_data") == "/data/desk_raw/market_data"
     assert (cfg.train_days, cfg.horizon, cfg.level) == (180, 7, 0.95)
     with pytest.raises(AttributeError):

@@ -119,7 +119,9 @@ def test_daily_run(spark, tmp_path):
     got = {r["record_type"]: r["count"] for r in mart.groupBy("record_type").count().collect()}
     assert got == {"historical": 30, "forecast": 14}
     assert spark.table(cfg.snapshot).count() == 30
-    assert spark.table("stg_market_data").count() == 30
+    assert spark.table(cfg.stg_history).count() == 30
+    assert spark.table(cfg.stg_forecast).count() == 14
+    assert spark.table(cfg.metrics).count() == 2
     # A second day: the window rolls, the snapshot keeps what left it.
     run_ingest(spark, long_delivery(spark, days=22), cfg)
     run_forecast(spark, cfg)
