@@ -24,6 +24,7 @@ def local_session(name: str, cpus: int | None = None) -> SparkSession:
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
         .config("spark.checkpoint.dir", f"{scratch}/shared")
