@@ -39,6 +39,7 @@ from marketbars.sinks.tables import (  # noqa: E402
 )
 from marketbars.sources import (  # noqa: E402
     daily_bars,
+    flatten_symbol,
     in_universe,
     lookback,
     missing_symbols,
@@ -159,7 +160,7 @@ def _lookback_as_of(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _symbol_universe(spark: SparkSession, sf: str) -> DataFrame:
-    wanted = universe(spark.createDataFrame([(oracle.SYMBOL_LIST,)], "symbols string"))
+    wanted = universe(spark.range(1).select(F.lit(oracle.SYMBOL_LIST).alias("symbols")))
     return _rounded(in_universe(_by_type(spark, sf), wanted))
 
 
@@ -186,6 +187,12 @@ def _wide_to_long(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(typed_bars(wide_to_long(_wide(spark, sf))))
 
 
+def _wide_flatten(spark: SparkSession, sf: str) -> DataFrame:
+    """One symbol's plain columns, and their names in lower case."""
+    one = flatten_symbol(_wide(spark, sf), oracle.FLAT_SYMBOL)
+    return _rounded(one.toDF(*[c.lower() for c in one.columns]))
+
+
 def _schema_contract(spark: SparkSession, sf: str) -> DataFrame:
     """A delivery whose columns come in another order passes and conforms."""
     delivery = _incoming(spark, sf)
@@ -352,6 +359,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "symbol_universe_literal": _universe_literal,
         "missing_symbols": _missing_symbols,
         "wide_to_long": _wide_to_long,
+        "wide_flatten": _wide_flatten,
         # tables
         "ensure_tables": _ensure_tables,
         "insert_columns": _insert_columns,
@@ -390,6 +398,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "backtest_metrics": _backtest("trend"),
         "backtest_drift": _backtest("drift"),
         "backtest_seasonal_naive": _backtest("seasonal_naive"),
+        "backtest_holt": _backtest("holt"),
         # quality
         "dq_not_null": _dq_not_null,
         "dq_unique": _dq_unique,

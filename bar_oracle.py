@@ -12,6 +12,7 @@ from statistics import NormalDist
 # Fixed values shared with the queries.
 SYMBOL_LIST = " click, VIEW ,, purchase,refund ,"
 ACCEPTED = ("click", "view", "purchase")
+FLAT_SYMBOL = "CLICK"
 LOOKBACK_DAYS = 10
 LOOKBACK_END = date(2024, 1, 25)
 HORIZON = 7
@@ -105,14 +106,16 @@ def seasonal_model(held: int = 0) -> str:
     GROUP BY symbol HAVING count(*) >= {SEASON} + 1"""
 
 
-def holt_model() -> str:
+def holt_model(held: int = 0) -> str:
     """The level and trend recursion, for every pair of weights."""
     weights = ", ".join(f"({w}::DOUBLE)" for w in WEIGHTS)
     return f"""
     SELECT symbol, n, last_ts, best.alpha AS alpha, best.beta AS beta, best.level AS level,
            best.trend AS trend, sqrt(greatest(best.sse / (n - 2), 0.0)) AS sigma
     FROM (
-      WITH RECURSIVE p AS MATERIALIZED ({POINTS}),
+      WITH RECURSIVE p AS MATERIALIZED (
+        SELECT symbol, date, y, x, y_prev, total - {held} AS total, last_date
+        FROM ({POINTS}) WHERE x <= total - {held}),
       g(w) AS (VALUES {weights}),
       run AS (
         SELECT b.symbol, a.w AS alpha, s.w AS beta_star, 2 AS pos, b.y AS level,
@@ -129,7 +132,8 @@ def holt_model() -> str:
              min(struct_pack(sse := sse, alpha := alpha, beta_star := beta_star,
                              level := level, trend := trend, beta := alpha * beta_star)) AS best
       FROM run WHERE pos = total GROUP BY symbol
-    ) JOIN (SELECT symbol, max(date) AS last_ts FROM ({RAW}) GROUP BY symbol) USING (symbol)"""
+    ) JOIN (SELECT symbol, {last(held)} AS last_ts FROM ({POINTS}) WHERE x <= total - {held}
+            GROUP BY symbol) USING (symbol)"""
 
 
 # Per method: forecast and standard error at step k.
@@ -139,10 +143,10 @@ METHODS = {
     "drift": (drift_model, "last_y + k * slope", "sigma * sqrt(k * (1 + k / (n - 1.0)))"),
     "seasonal_naive": (seasonal_model, f"recent[(k - 1) % {SEASON} + 1]",
                        f"sigma * sqrt(floor((k - 1) / {SEASON}.0) + 1)"),
+    "holt": (holt_model, "level + k * trend",
+             "sigma * sqrt(1 + (k - 1) * (alpha * alpha + alpha * beta * k"
+             " + beta * beta * k * (2 * k - 1) / 6.0))"),
 }
-HOLT = ("level + k * trend",
-        "sigma * sqrt(1 + (k - 1) * (alpha * alpha + alpha * beta * k"
-        " + beta * beta * k * (2 * k - 1) / 6.0))")
 
 
 def steps(model: str, point: str, spread: str, level: float = 0.95) -> str:
@@ -311,6 +315,10 @@ def statements() -> dict[str, str]:
             FROM (SELECT DISTINCT date FROM ({BY_TYPE})) d
             CROSS JOIN (SELECT DISTINCT symbol FROM ({BY_TYPE})) s
             LEFT JOIN ({BY_TYPE}) b ON b.symbol = s.symbol AND b.date = d.date""",
+        "wide_flatten": f"""
+            SELECT d.date, {PRICES}, volume FROM (SELECT DISTINCT date FROM ({BY_TYPE})) d
+            LEFT JOIN (SELECT * FROM ({BY_TYPE}) WHERE symbol = '{FLAT_SYMBOL}') b
+              ON b.date = d.date""",
         "ensure_tables": staged,
         "insert_columns": f"""
             SELECT symbol, date, CAST(NULL AS DOUBLE) AS open, {r('close')},
@@ -353,10 +361,11 @@ def statements() -> dict[str, str]:
         "forecast_trend_weekday": weekday_predictions(),
         "forecast_drift": predictions(ahead("drift")),
         "forecast_seasonal_naive": predictions(ahead("seasonal_naive")),
-        "forecast_holt": predictions(steps(holt_model(), *HOLT)),
+        "forecast_holt": predictions(ahead("holt")),
         "backtest_metrics": metrics("trend"),
         "backtest_drift": metrics("drift"),
         "backtest_seasonal_naive": metrics("seasonal_naive"),
+        "backtest_holt": metrics("holt"),
         "dq_not_null": " UNION ALL ".join(
             f"SELECT '{c}' AS \"column\", count(*) AS n_failing FROM ({TYPED}) WHERE {c} IS NULL"
             for c in ("symbol", "date", "close")),

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from marketbars.operators import snapshot
 from marketbars.operators.quality import raise_on_duplicates
 from marketbars.settings import Settings, quoted
+from marketbars.sinks.tables import counted, require_rows
 
 RUN_PROPERTY = "marketbars.run"
 
@@ -44,20 +45,14 @@ def update_snapshot(
     if last is None:
         versions = snapshot.initial(source, as_of)
     else:
-        opened = (
-            spark.read.parquet(base)
-            .where((F.col("run") == last) & (F.col("state") == "open"))
-            .drop("run", "state")
-        )
+        # One folder by name: the files of earlier runs are not even listed.
+        opened = spark.read.parquet(f"{base}/run={last}/state=open")
         versions = snapshot.advance(opened, source, as_of)
     state = F.when(F.col("valid_to").isNull(), "open").otherwise("closed")
+    rows, seen = counted(versions.withColumn("state", state))
     # Overwrites at most a failed attempt at this same, uncommitted run.
-    (
-        versions.withColumn("state", state)
-        .write.mode("overwrite")
-        .partitionBy("state")
-        .parquet(f"{base}/run={run}")
-    )
+    rows.write.mode("overwrite").partitionBy("state").parquet(f"{base}/run={run}")
+    require_rows(seen, cfg.snapshot)
     names = ", ".join(map(quoted, versions.columns))
     spark.sql(
         f"CREATE OR REPLACE VIEW {cfg.snapshot} TBLPROPERTIES ('{RUN_PROPERTY}' = '{run}') AS "

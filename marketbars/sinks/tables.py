@@ -53,7 +53,8 @@ def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def _written(seen: Observation, target: str, allow_empty: bool) -> int:
+def require_rows(seen: Observation, target: str, allow_empty: bool = False) -> int:
+    """The rows a counted write saw; none is an error unless allowed."""
     rows = seen.get["rows"]
     if rows == 0 and not allow_empty:
         raise EmptyWriteError(f"nothing to write to {target}")
@@ -71,7 +72,7 @@ def append(df: DataFrame, table: str, allow_empty: bool = False) -> int:
     target = df.sparkSession.table(table).schema
     rows, seen = counted(conform(df, target))
     rows.write.mode("append").insertInto(table)
-    return _written(seen, table, allow_empty)
+    return require_rows(seen, table, allow_empty)
 
 
 def insert_select(spark: SparkSession, table: str, columns: Sequence[str], query: str) -> None:
@@ -98,7 +99,7 @@ def publish(
         df = df.repartitionByRange(*range_by).sortWithinPartitions(*range_by)
     rows, seen = counted(df)
     rows.write.mode("errorifexists").parquet(path)
-    n = _written(seen, table, allow_empty)
+    n = require_rows(seen, table, allow_empty)
     _point(df.sparkSession, table, df.schema, path)
     return n
 

@@ -42,7 +42,8 @@ def missing_symbols(
     """
     wanted = symbols
     if not isinstance(symbols, DataFrame):
-        wanted = spark.createDataFrame([(s,) for s in _names(symbols)], "symbol string")
+        names = F.array(*map(F.lit, _names(symbols)))
+        wanted = spark.range(1).select(F.explode(names).alias("symbol"))
     found = in_universe(bars.select("symbol"), symbols).distinct()
     return wanted.join(found, "symbol", "left_anti")
 

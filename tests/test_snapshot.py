@@ -6,7 +6,7 @@ from marketbars.operators import snapshot
 from marketbars.operators.quality import QualityError
 from marketbars.settings import Settings
 from marketbars.sinks.history import current_run, update_snapshot
-from marketbars.sinks.tables import ensure_tables
+from marketbars.sinks.tables import EmptyWriteError, ensure_tables
 
 T1, T2, T3 = moment("2025-02-01"), moment("2025-02-02"), moment("2025-02-03T06:30:00")
 
@@ -98,6 +98,17 @@ def test_duplicate_source_keys_are_refused(spark, tmp_path):
     assert current_run(spark, cfg.snapshot) is None
 
 
+def test_an_empty_first_source_is_refused(spark, tmp_path):
+    cfg = settings(tmp_path, "snap4")
+    ensure_tables(spark, cfg)
+    with pytest.raises(EmptyWriteError):
+        update_snapshot(spark, bars(spark, FIRST).limit(0), cfg, T1)
+    assert current_run(spark, cfg.snapshot) is None
+    update_snapshot(spark, bars(spark, FIRST), cfg, T1)
+    assert summary(update_snapshot(spark, bars(spark, SECOND).limit(0), cfg, T2)) == summary(
+        snapshot.initial(bars(spark, FIRST), T1))
+
+
 def test_other_keys_and_check_columns(spark):
     a = closes(spark, [("A", "2025-01-01", 1.0)]).select("symbol", "open")
     b = closes(spark, [("A", "2025-01-01", 2.0)]).select("symbol", "open")

@@ -4,6 +4,7 @@ from helpers import GOLDEN_DELIVERY, GOLDEN_RAW, bars, closes, day, delivery, mo
 from marketbars.operators.quality import QualityError
 from marketbars.plans.daily import run_forecast, run_ingest, run_publish
 from marketbars.schema import BARS
+from marketbars.session import cluster_conf
 from marketbars.settings import Settings, quoted
 from marketbars.shared import run_dir, shared_dir, small_side
 from marketbars.sinks.tables import (
@@ -169,3 +170,9 @@ def test_small_side_is_not_hinted_beyond_its_limit(spark):
 
 def test_names_are_quoted():
     assert quoted("a", "b`c") == "`a`.`b``c`"
+
+
+def test_cluster_settings_follow_the_shuffle_size():
+    assert cluster_conf(0)["spark.sql.shuffle.partitions"] == "200"
+    assert cluster_conf(2**40)["spark.sql.shuffle.partitions"] == "2048"
+    assert cluster_conf(10**15)["spark.sql.shuffle.partitions"] == "50000"
