@@ -44,10 +44,9 @@ def coerce_day(value: Column, text: bool = True) -> Column:
     """
     if not text:
         return value.cast("date")
-    day = value.try_cast("date")
-    bad = value.isNotNull() & day.isNull()
     message = F.concat(F.lit("not a date: "), value)
-    return F.when(bad, F.raise_error(message).cast("date")).otherwise(day)
+    refuse = F.when(value.isNotNull(), F.raise_error(message).cast("date"))
+    return F.coalesce(value.try_cast("date"), refuse)
 
 
 def strip_quotes(series: Column) -> Column:

@@ -122,8 +122,8 @@ def _holt_search(weights: Sequence[float]):
     """Arrow-batched search for the pair of weights with least squared error.
 
     Each step of the recursion updates all pairs of a block of series at once.
-    As a fold of built-in higher-order functions the same search took about
-    5 microseconds per pair and step, some hundred times this.
+    A fold of built-in higher-order functions gives the same result, but took
+    14.8 s where this took 3.5 s (1,500 series of up to 30 days, whole query).
     """
     pairs = [(a, b) for a in weights for b in weights]
     block = 256
