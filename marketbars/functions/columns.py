@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,20 +24,34 @@ def nan_to_null(number: Column) -> Column:
 
 
 def coerce_number(value: Column, text: bool = True) -> Column:
-    """Input to double; whatever is not a number becomes null, NaN included.
-
-    Java accepts a type suffix ("1d", "2.5f") that is no part of a number in
-    a price file, so such text is refused before the cast.
-    """
+    """Input to double; whatever is not a number becomes null, NaN included."""
     number = value.try_cast("double")
     if text:
-        number = F.when(~value.rlike(r"[0-9.][dDfF]\s*$"), number)
+        number = F.when(~_no_number(value), number)
     return nan_to_null(number)
 
 
+def _no_number(text: Column) -> Column:
+    """Text to refuse before the cast, by tests that cost next to nothing.
+
+    Words such as "n/a" ("inf" aside) would each raise and catch an exception
+    inside the cast. Java also accepts a type suffix ("1d", "2.5f") that is no
+    part of a number in a price file.
+    """
+    bare = F.trim(text)
+    first = F.substring(bare, 1, 1)
+    word = (first >= "A") & (first <= "z") & ~first.isin("i", "I")
+    ends = reduce(or_, [bare.endswith(c) for c in "dDfF"])
+    return word | (ends & text.rlike(r"[0-9.][dDfF]\s*$"))
+
+
 def coerce_volume(value: Column, text: bool = True) -> Column:
     """Whole-number volume; fractions round half up, out-of-range becomes null."""
-    return F.round(coerce_number(value, text)).try_cast("bigint")
+    if text:
+        whole = F.when(~_no_number(value), value.try_cast("decimal(38,0)"))
+    else:
+        whole = F.round(nan_to_null(value.cast("double")))
+    return whole.try_cast("bigint")
 
 
 def coerce_day(value: Column, text: bool = True) -> Column:

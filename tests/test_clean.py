@@ -53,6 +53,8 @@ def test_duplicate_sample_orders_and_limits(spark):
 @pytest.mark.parametrize("text, number", [
     ("12.5", 12.5), (" 12 ", 12.0), ("1e3", 1000.0), ("-3", -3.0), ("n/a", None), ("", None),
     ("NaN", None), ("1d", None), ("2.5f", None), ("3D ", None), (None, None), ("inf", float("inf")),
+    ("-Infinity", float("-inf")), ("Null", None), ("\t7", 7.0), (" inf", float("inf")), ("_1", None),
+    (".5", 0.5), ("+4", 4.0), ("-", None), ("4 d", None), ("d", None), ("1e3f", None), ("12%", None),
 ])
 def test_number_coercion(spark, text, number):
     df = spark.createDataFrame([(text,)], "v string")
@@ -60,8 +62,10 @@ def test_number_coercion(spark, text, number):
 
 
 def test_volume_is_whole(spark):
-    df = spark.createDataFrame([("2.5",), ("1e30",), ("x",)], "v string")
-    assert [r[0] for r in df.select(coerce_volume(F.col("v"))).collect()] == [3, None, None]
+    df = spark.createDataFrame([("2.5",), ("1e30",), ("x",), ("7",), ("-2.5",), ("1e9",), (" 8 ",),
+                                ("inf",), ("n/a",), ("9d",), (None,), ("1e40",)], "v string")
+    got = [r[0] for r in df.select(coerce_volume(F.col("v"))).collect()]
+    assert got == [3, None, None, 7, -3, 10**9, 8, None, None, None, None, None]
 
 
 def test_typed_input_needs_no_text(spark):
