@@ -48,6 +48,14 @@ from marketbars.sources import (  # noqa: E402
     wide_to_long,
 )
 
+try:
+    import corpus_pipeline
+    from marketbars.llm import queries as llm
+except ModuleNotFoundError as missing:  # the subpackage and its pipeline may be left out
+    if missing.name not in ("corpus_pipeline", "marketbars.llm"):
+        raise
+    corpus_pipeline = llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 FIRST_RUN = datetime(2024, 2, 1)
 SECOND_RUN = datetime(2024, 2, 2)
@@ -411,9 +419,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "snapshot_changes": _snapshot_changes,
         "snapshot_apply": _snapshot_apply,
         "snapshot_table": _snapshot_table,
+        **(llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """The SQL each query must equal, for DuckDB on the same tables."""
-    return oracle.statements()
+    return oracle.statements() | (llm.oracle_sql() if llm else {})
