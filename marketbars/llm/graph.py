@@ -103,13 +103,13 @@ def _linked(rows: DataFrame, link: Linker, keys: tuple[str, ...]) -> DataFrame:
     return dealt.mapInArrow(_by_run(link, keys), "a long, b long")
 
 
-def group_links(members: DataFrame, link: Linker, block: int) -> DataFrame:
+def group_links(members: DataFrame, payloads: DataFrame, link: Linker, block: int) -> DataFrame:
     """Edges that join all linked members of each group.
 
-    ``members``: ``key`` long, ``node`` long, ``payload`` binary, ``weight`` long;
-    one row per key and node, groups of at least two. ``block`` is the weight of
-    members that one task may hold at a time. ``members`` is read several times:
-    pass a stored table.
+    ``members``: ``key`` long, ``node`` long, ``weight`` long; one row per key and
+    node, groups of at least two. ``payloads``: what ``link`` compares, ``node``
+    long and ``payload`` binary. ``block`` is the weight of members that one task
+    may hold at a time. ``members`` is read several times: pass a stored table.
     """
     groups = stored(members.groupBy("key").agg(
         F.min("node").alias("hub"), F.ceil(F.sum("weight") / block).alias("blocks")), "groups")
@@ -119,8 +119,9 @@ def group_links(members: DataFrame, link: Linker, block: int) -> DataFrame:
     everywhere = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
     spread = spread.withColumn("block", F.explode(
         F.when(F.col("node") == F.col("hub"), everywhere).otherwise(F.array(own))))
-    cols = ("key", "block", "node", "payload")
-    inside = _linked(spread.select(*cols, F.lit(0).alias("probe")), link, ("key", "block"))
+    spread = spread.select("key", "block", "node", F.lit(0).alias("probe"))
+    # Payloads join last, so that each member's crosses once.
+    inside = _linked(spread.join(payloads, "node"), link, ("key", "block"))
     if wide.isEmpty():
         return inside
     # Members of wide groups that their own block does not join with the hub.
@@ -137,8 +138,8 @@ def group_links(members: DataFrame, link: Linker, block: int) -> DataFrame:
     targets = members.join(wide, "key").join(weights, "key").withColumn("block", own)
     targets = targets.withColumn("part", F.explode(
         F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    cols = ("key", "block", "part", "node", "payload")
+    cols = ("key", "block", "part", "node")
     across = targets.select(*cols, F.lit(0).alias("probe")).unionByName(
         probes.select(*cols, F.lit(1).alias("probe")))
-    across = _linked(across, link, ("key", "block", "part"))
+    across = _linked(across.join(payloads, "node"), link, ("key", "block", "part"))
     return inside.unionByName(across)

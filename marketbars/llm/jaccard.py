@@ -9,7 +9,8 @@ one node; nodes are joined as follows.
    the table; the most frequent make the frequent class, all others are rare.
    The class table is bounded (``FREQUENT``) and decides only the plan: any
    table gives the same links.
-2. Signatures. Tokens are ordered rare before frequent, then by hash. Of a set
+2. Signatures. Tokens are ordered rare before frequent, then long before short,
+   then by hash. Of a set
    of size s with required overlap o, the prefix must hold s-o+1 units. A rare
    token is one unit. Frequent tokens fall into m subclasses by hash; a subclass
    with c tokens in the prefix gives c-1 units, so the prefix extends until
@@ -18,7 +19,8 @@ one node; nodes are joined as follows.
    one subclass. Index entries are single rare tokens and pairs within a
    subclass. m follows the size class; a set is entered under every size class
    its partners can have.
-3. Buckets. Entries with equal signatures meet. In a bucket, parity bitmaps of
+3. Buckets. Entries with equal signatures meet; of buckets with the same members
+   one is kept. In a bucket, parity bitmaps of
    about one bit per token bound the overlap from above; nodes whose bound
    reaches the threshold join. Each bucket returns one edge per member at most,
    never pairs, and the joined nodes form candidate groups.
@@ -55,7 +57,7 @@ from marketbars.shared import stored
 #: Documents' shingles that a task gathers before it reports recurring ones.
 _COUNT_TOKENS = 1 << 21
 #: Times a shingle recurs in such a gathering before it is reported.
-_RECURS = 16
+_RECURS = 4
 #: Entries of the frequent class at most: 8 bytes each to broadcast.
 FREQUENT = 1 << 18
 #: Members of a bucket, and tokens of a group, that one task compares at a time.
@@ -68,12 +70,25 @@ _ROWS = "kind int, id long, n_shingles long, node long, bits binary"
 
 
 def shingle_sets(found: Words, n: int) -> Iterator[np.ndarray]:
-    """The sorted distinct shingle hashes of each text."""
-    windows = window_hashes(found.hashes, n)
+    """The sorted distinct shingles of each text.
+
+    A shingle is 56 bits of its hash below 8 bits of its length, long ones first:
+    shingles of long words are rarer than those of short ones, so the order of
+    the numbers is an order of growing frequency, roughly.
+    """
+    long_first = np.concatenate([[0], np.cumsum(found.ends - found.starts)])
+
+    def numbers(hashes: np.ndarray, size: int) -> np.ndarray:
+        lengths = long_first[size:] - long_first[:-size]
+        short = np.uint64(255) - np.minimum(lengths[:len(hashes)], 255).astype(np.uint64)
+        return (short << np.uint64(56)) | (hashes >> np.uint64(8))
+
+    windows = numbers(window_hashes(found.hashes, n), n)
     for a, b in found.spans():
         if b - a >= n:
             yield np.unique(windows[a:b - n + 1])
         elif b > a:
+            # A sequence of fewer words; the length tells it from shingles.
             yield mix(window_hashes(found.hashes[a:b], b - a) ^ np.uint64(SECOND_BASE))
         else:
             yield found.hashes[:0]
@@ -354,24 +369,30 @@ def classes(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, lower: b
 
     # One exchange by signature serves the count and the join.
     entries = source.select("text").mapInArrow(
-        _enter(n, lower, "text", frequent, limit), "key long, node long").repartition("key")
-    shared = entries.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    shared = shared.where("low <> high").select("key")
-    met = entries.join(shared, "key").distinct()
+        _enter(n, lower, "text", frequent, limit), "key long, node long")
+    entries = stored(entries, "entries").where("key IS NOT NULL").repartition("key")
+    # Buckets with the same members are one: linked sets share most of their keys.
+    prints = [F.sum(F.expr(f"pmod(xxhash64(node, {k}), {1 << 31})")).alias(f"print_{k}")
+              for k in range(3)]
+    shared = entries.groupBy("key").agg(
+        F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("held"), *prints)
+    shared = shared.where("low <> high").groupBy(
+        "low", "high", "held", *[f"print_{k}" for k in range(3)]).agg(F.min("key").alias("key"))
+    met = entries.join(shared.select("key"), "key").distinct()
     nodes = rows.groupBy("node").agg(F.first("bits").alias("payload"), F.min("id").alias("id"))
-    members = stored(met.join(nodes.drop("id"), "node").withColumn("weight", F.lit(1).cast("long")),
-                     "buckets")
-    groups = components(group_links(members, maybe_linked(limit), bucket_block))
+    members = stored(met.withColumn("weight", F.lit(1).cast("long")), "buckets")
+    groups = components(group_links(
+        members, nodes.select("node", "payload"), maybe_linked(limit), bucket_block))
 
     wanted = nodes.join(groups, "node").select("id", "node", F.col("root").alias("key"))
     texts = source.join(wanted.select(F.col("id").alias("of_id")).distinct(),
                         F.col("id").eqNullSafe(F.col("of_id")), "left_semi")
     fetched = texts.select("text").mapInArrow(
         _fetch(n, lower, "text"), "node long, payload binary").dropDuplicates(["node"])
-    sets = stored(fetched.join(wanted.select("node", "key"), "node").withColumn(
-        "weight", F.octet_length("payload").cast("long") / 8).withColumn(
-            "weight", F.col("weight").cast("long")), "groups")
-    roots = components(group_links(sets, linked(limit), group_block))
+    sets = stored(fetched, "sets")
+    members = stored(sets.join(wanted.select("node", "key"), "node").select(
+        "key", "node", (F.octet_length("payload") / 8).cast("long").alias("weight")), "groups")
+    roots = components(group_links(members, sets, linked(limit), group_block))
 
     whole = rows.join(roots, "node", "left").withColumn("class", F.coalesce("root", "node"))
     names = whole.where("n_shingles > 0").groupBy("class").agg(F.min("id").alias("component_id"))
