@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketbars.llm.frames import blocks_for, fresh, text_volume
+from marketbars.llm.frames import blocks_for, fresh, small_batches, text_volume
 from marketbars.llm.words import ALPHANUMERIC, covered, pieces, whole_windows, window_hashes, words
 from marketbars.shared import stored
 
@@ -143,7 +143,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, text: str = "te
 
     Returns the frame and the names of the three added columns.
     """
-    spark = docs.sparkSession
+    spark = small_batches(docs).sparkSession
     names = tuple(fresh(docs, c) for c in ("n_words", "hit_spans", "hit_items"))
     n_words, hit_spans, hit_items = names
     empty = T.StructType([

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import math
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+BATCH_ROWS = 500
+
 
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, or the first ``name_2``, ``name_3``... that ``df`` has no column of."""
@@ -31,5 +32,15 @@ def blocks_for(volume: int, block: int) -> int:
     return max(1, math.ceil(volume / block))
 
 
-def table_rows(table: pa.Table) -> list[dict]:
-    return table.to_pylist()
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in whose session Arrow batches hold at most ``BATCH_ROWS`` rows from now on.
+
+    Texts are far longer than the rows Spark's default is made for: ten thousand
+    of them at a time would fill the buffers on both sides of each Python worker.
+    A smaller setting of the session stays.
+    """
+    conf = df.sparkSession.conf
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df

@@ -50,12 +50,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketbars.llm.frames import small_batches
 from marketbars.llm.graph import components, group_links
 from marketbars.llm.words import SPACED, SECOND_BASE, Words, mix, pieces, window_hashes, words
 from marketbars.shared import stored
 
 #: Documents' shingles that a task gathers before it reports recurring ones.
-_COUNT_TOKENS = 1 << 21
+_COUNT_TOKENS = 1 << 20
 #: Times a shingle recurs in such a gathering before it is reported.
 _RECURS = 4
 #: Entries of the frequent class at most: 8 bytes each to broadcast.
@@ -64,7 +65,7 @@ FREQUENT = 1 << 18
 BUCKET_BLOCK = 4096
 GROUP_BLOCK = 1 << 22
 #: Distinct nodes a task remembers, so that copies enter the index once per task.
-_REMEMBER = 1 << 20
+_REMEMBER = 1 << 18
 
 _ROWS = "kind int, id long, n_shingles long, node long, bits binary"
 
@@ -355,7 +356,7 @@ def classes(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, lower: b
             doc_id: str = "doc_id", text: str = "text", bucket_block: int = BUCKET_BLOCK,
             group_block: int = GROUP_BLOCK, recurs_in: int = 64) -> DataFrame:
     """Per document: its id, its set's size, its node and the smallest id it is linked with."""
-    spark = docs.sparkSession
+    spark = small_batches(docs).sparkSession
     limit = Threshold(num, den)
     source = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     described = stored(source.mapInArrow(_describe(n, lower, "text"), _ROWS), "sets")

@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from marketbars.llm.frames import small_batches
+
 SAMPLE_DOCS = 160
 SAMPLE_CHARS = 1500
 DICTIONARY_BYTES = 96 << 10
@@ -109,7 +111,7 @@ class Coders:
 def predict(docs: DataFrame, dictionaries: dict[str, bytes], doc_id: str = "doc_id",
             text: str = "text") -> DataFrame:
     """Per document: language, score, and whether the margin was too narrow."""
-    shared = docs.sparkSession.sparkContext.broadcast(dictionaries)
+    shared = small_batches(docs).sparkSession.sparkContext.broadcast(dictionaries)
     schema = T.StructType([
         docs.schema[doc_id], T.StructField("lang_pred", T.StringType()),
         T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])

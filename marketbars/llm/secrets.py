@@ -32,6 +32,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketbars.llm.frames import small_batches
+
 #: Changes with the rules below; earlier findings then no longer count.
 RULES_VERSION = "1"
 
@@ -103,7 +105,7 @@ def addressed(texts: DataFrame, path: str = "doc_id", text: str = "text") -> Dat
 
 def update_ledger(texts: DataFrame, folder: str, path: str = "doc_id", text: str = "text") -> None:
     """Scan the blobs of ``texts`` that the ledger lacks, and add them."""
-    spark = texts.sparkSession
+    spark = small_batches(texts).sparkSession
     blobs = addressed(texts, path, text).select("blob", "text").dropDuplicates(["blob"])
     unseen = blobs
     known = ledger(spark, folder)

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketbars.llm.decontaminate import SPANS, runs
-from marketbars.llm.frames import blocks_for, text_volume
+from marketbars.llm.frames import blocks_for, small_batches, text_volume
 from marketbars.llm.words import (
     SECOND_BASE,
     covered,
@@ -171,7 +171,7 @@ def remove_repeats(docs: DataFrame, n: int = WINDOW, doc_id: str = "doc_id",
                    chunk_bytes: int = CHUNK_BYTES,
                    bucket_windows: int = BUCKET_WINDOWS) -> DataFrame:
     """Per document: words, removed words, removed word spans, and the words kept."""
-    volume = text_volume(docs)
+    volume = text_volume(small_batches(docs))
     chunks = blocks_for(volume, chunk_bytes)
     # A word and its blank take at least two bytes; texts take about six.
     buckets = blocks_for(volume, 6 * bucket_windows)

@@ -24,9 +24,9 @@ SECOND_BASE = 0xA0761D6478BD642F
 MASK = (1 << 64) - 1
 
 #: Bytes whose words are hashed at a time.
-HASH_BYTES = 1 << 20
+HASH_BYTES = 1 << 18
 #: Bytes of text in a piece; one longer text makes a longer piece.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 
 
 def byte_class(*ranges: tuple[int, int]) -> np.ndarray:
