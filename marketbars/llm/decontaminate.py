@@ -211,6 +211,8 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> Da
 def without_hit_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """``docs`` with the text from each hit span's first to last word cut out."""
     rows, (_, spans, _) = scan(docs, benchmark, text=text, **options)
+    columns = list(docs.columns)
+    at = columns.index(text)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -229,9 +231,8 @@ def without_hit_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text",
                             done = int(found.ends[base + m["last"] - 1]) - offset
                         texts[k] = b"".join([*kept, raw[done:]]).decode()
                     offset += len(raw)
-                at = docs.columns.index(text)
-                arrays = list(piece.columns)[:len(docs.columns)]
+                arrays = list(piece.columns)[:len(columns)]
                 arrays[at] = pa.array(texts, pa.string())
-                yield pa.RecordBatch.from_arrays(arrays, names=docs.columns)
+                yield pa.RecordBatch.from_arrays(arrays, names=columns)
 
     return rows.mapInArrow(cut, docs.schema)
