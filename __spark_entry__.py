@@ -32,6 +32,7 @@ from marketbars.shared import run_dir, stored  # noqa: E402
 from marketbars.sinks.history import update_snapshot  # noqa: E402
 from marketbars.sinks.tables import (  # noqa: E402
     append,
+    create_staging_views,
     empty_table,
     ensure_tables,
     insert_select,
@@ -58,6 +59,7 @@ except ModuleNotFoundError as missing:  # the subpackage and its pipeline may be
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 FIRST_RUN = datetime(2024, 2, 1)
+FAILED_RUN = datetime(2024, 2, 1, 12)
 SECOND_RUN = datetime(2024, 2, 2)
 
 
@@ -68,7 +70,7 @@ def _events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _by_type(spark: SparkSession, sf: str) -> DataFrame:
-    return daily_bars(_events(spark, sf), F.upper("event_type"), "ts", "value")
+    return daily_bars(_events(spark, sf), F.upper("event_type"), "ts", "value", sequence="event_id")
 
 
 def _user(column: str = "user_id"):
@@ -117,8 +119,8 @@ def _snapshot_sources(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFram
     events = _events(spark, sf)
     shifted = events.withColumn("ts", F.col("ts") + F.expr("INTERVAL 6 HOURS"))
     return (
-        daily_bars(events, _user(), "ts", "value"),
-        daily_bars(shifted, _user(), "ts", "value"),
+        daily_bars(events, _user(), "ts", "value", sequence="event_id"),
+        daily_bars(shifted, _user(), "ts", "value", sequence="event_id"),
     )
 
 
@@ -182,9 +184,9 @@ def _missing_symbols(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _wide(spark: SparkSession, sf: str) -> DataFrame:
-    """Bars as one column per field and symbol (Spark bounds the pivot's width)."""
+    """Bars as one column per field and symbol, of the event types listed."""
     bars = _by_type(spark, sf)
-    wide = bars.groupBy(F.col("date").alias("Date")).pivot("symbol").agg(
+    wide = bars.groupBy(F.col("date").alias("Date")).pivot("symbol", oracle.EVENT_TYPES).agg(
         *[F.first(c).alias(c.capitalize()) for c in ("open", "high", "low", "close", "volume")]
     )
     names = [c if c == "Date" else "|".join(reversed(c.rsplit("_", 1))) for c in wide.columns]
@@ -243,7 +245,7 @@ def _write_guard(spark: SparkSession, sf: str) -> DataFrame:
 
 def _full_refresh(spark: SparkSession, sf: str) -> DataFrame:
     """The raw table after two ingest runs: refreshed, not added to."""
-    cfg = _settings(spark, train_days=10_000)
+    cfg = _settings(spark, train_days=None)
     for _ in range(2):
         run_ingest(spark, _incoming(spark, sf), cfg)
     return _rounded(spark.table(cfg.raw))
@@ -261,7 +263,7 @@ def _table_replace(spark: SparkSession, sf: str) -> DataFrame:
 
 def _daily_run_mart(spark: SparkSession, sf: str) -> DataFrame:
     """The mart table after ingest, forecast and publish through the catalog."""
-    cfg = _settings(spark, train_days=10_000)
+    cfg = _settings(spark, train_days=None)
     run_ingest(spark, _incoming(spark, sf), cfg)
     run_forecast(spark, cfg)
     return _rounded(run_publish(spark, cfg, FIRST_RUN))
@@ -348,6 +350,40 @@ def _snapshot_table(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(update_snapshot(spark, second, cfg, SECOND_RUN))
 
 
+def _snapshot_after_failure(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored snapshot after a run, a run that failed before its commit, and a later run."""
+    cfg = _settings(spark)
+    ensure_tables(spark, cfg)
+    first, second = _snapshot_sources(spark, sf)
+    update_snapshot(spark, first, cfg, FIRST_RUN)
+    junk = snapshot.initial(second, FAILED_RUN).withColumn("valid_to", F.col("valid_from"))
+    files = cfg.location("snapshots", "market_data_snapshot") + "_files"
+    for state in ("opened", "closed"):
+        junk.write.parquet(f"{files}/epoch=2/state={state}")
+    return _rounded(update_snapshot(spark, second, cfg, SECOND_RUN))
+
+
+def _ingest_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows per symbol before and after cleaning, as the ingest stores them."""
+    cfg = _settings(spark, train_days=None)
+    run_ingest(spark, _incoming(spark, sf), cfg)
+    return spark.table(cfg.ingest_counts)
+
+
+def _staging_view(which: int) -> Callable[[SparkSession, str], DataFrame]:
+    """A stored staging view, read through the catalog."""
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        cfg = _settings(spark)
+        ensure_tables(spark, cfg)
+        publish(_raw(spark, sf), cfg.raw, cfg.location("raw", "market_data"))
+        publish(_with_predictions(spark.table(cfg.raw)), cfg.final,
+                cfg.location("analytics", "market_data"))
+        create_staging_views(spark, cfg)
+        return _rounded(spark.table((cfg.stg_history, cfg.stg_forecast)[which]))
+
+    return query
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: the mart of history and forecasts."""
     return _rounded(_mart(spark, SMOKE_DIR))
@@ -378,6 +414,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # cleaning and duplicates
         "schema_contract": _schema_contract,
         "normalize_bars": lambda s, d: _rounded(_stage(s, d)),
+        "ingest_counts": _ingest_counts,
         "clean_counts": lambda s, d: clean_counts(_incoming(s, d)),
         "stage_dedup": lambda s, d: _rounded(_raw(s, d)),
         "dup_keys": lambda s, d: dedup.duplicate_keys(_stage(s, d)),
@@ -390,6 +427,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stg_market_forecast": lambda s, d: _rounded(staging.stg_market_forecast(_final(s, d))),
         "stg_market_forecast_strict": lambda s, d: _rounded(
             staging.stg_market_forecast(_final(s, d), strict=True)),
+        "stg_market_data_view": _staging_view(0),
+        "stg_market_forecast_view": _staging_view(1),
         "final_union": lambda s, d: _rounded(_final(s, d)),
         "clean_series": _clean_series,
         "mart_stock_analysis": lambda s, d: _rounded(_mart(s, d)),
@@ -419,6 +458,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "snapshot_changes": _snapshot_changes,
         "snapshot_apply": _snapshot_apply,
         "snapshot_table": _snapshot_table,
+        "snapshot_after_failure": _snapshot_after_failure,
         **(llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {}),
     }
 

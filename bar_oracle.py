@@ -11,6 +11,7 @@ from statistics import NormalDist
 
 # Fixed values shared with the queries.
 SYMBOL_LIST = " click, VIEW ,, purchase,refund ,"
+EVENT_TYPES = ["CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW"]
 ACCEPTED = ("click", "view", "purchase")
 FLAT_SYMBOL = "CLICK"
 LOOKBACK_DAYS = 10
@@ -42,15 +43,18 @@ RAW = f"""
 
 
 def bars(symbol: str, ts: str = "ts") -> str:
-    """Daily bars of events; open and close by joining the first and last tick back."""
+    """Daily bars of events; open and close by joining the first and last tick back.
+
+    Ticks of equal time are ordered by event_id.
+    """
     return f"""
     SELECT b.symbol, b.date, f.value AS open, l.value AS close, b.low, b.high, b.volume
-    FROM (SELECT {symbol} AS symbol, CAST({ts} AS DATE) AS date, min({ts}) AS t0, max({ts}) AS t1,
+    FROM (SELECT {symbol} AS symbol, CAST({ts} AS DATE) AS date, min(row({ts}, event_id)) AS t0, max(row({ts}, event_id)) AS t1,
                  min(value) AS low, max(value) AS high, count(*) AS volume
           FROM events WHERE ts IS NOT NULL GROUP BY 1, 2) b
-    JOIN (SELECT {symbol} AS symbol, {ts} AS t, value FROM events) f
+    JOIN (SELECT {symbol} AS symbol, row({ts}, event_id) AS t, value FROM events) f
       ON f.symbol = b.symbol AND f.t = b.t0
-    JOIN (SELECT {symbol} AS symbol, {ts} AS t, value FROM events) l
+    JOIN (SELECT {symbol} AS symbol, row({ts}, event_id) AS t, value FROM events) l
       ON l.symbol = b.symbol AND l.t = b.t1"""
 
 
@@ -332,6 +336,8 @@ def statements() -> dict[str, str]:
         "normalize_bars": staged,
         "clean_counts": f"SELECT symbol, count(*) AS rows_before, count(DISTINCT date) AS rows_after"
                         f" FROM ({TYPED}) GROUP BY symbol",
+        "ingest_counts": f"SELECT symbol, count(*) AS rows_before, count(DISTINCT date) AS rows_after"
+                         f" FROM ({TYPED}) GROUP BY symbol",
         "stage_dedup": raw,
         "dup_keys": DUPLICATES,
         "dup_key_count": f"SELECT count(*) AS dupes FROM ({DUPLICATES})",
@@ -345,6 +351,10 @@ def statements() -> dict[str, str]:
         "stg_market_data": f"""
             SELECT DISTINCT symbol, date, {PRICES}, CAST(volume AS DOUBLE) + 0.0 AS volume,
                    symbol || '|' || CAST(date AS VARCHAR) AS pk_symbol_date FROM ({RAW})""",
+        "stg_market_data_view": f"""
+            SELECT DISTINCT symbol, date, {PRICES}, CAST(volume AS DOUBLE) + 0.0 AS volume,
+                   symbol || '|' || CAST(date AS VARCHAR) AS pk_symbol_date FROM ({RAW})""",
+        "stg_market_forecast_view": staged_forecast(False),
         "stg_market_forecast": staged_forecast(False),
         "stg_market_forecast_strict": staged_forecast(True),
         "final_union": f"SELECT symbol, date, {r('actual')}, {BAND} FROM ({final()})",
@@ -381,4 +391,5 @@ def statements() -> dict[str, str]:
         "snapshot_changes": CLASSES,
         "snapshot_apply": versions(),
         "snapshot_table": versions(),
+        "snapshot_after_failure": versions(),
     }

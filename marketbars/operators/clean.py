@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketbars.functions import coerce_day, coerce_number, coerce_volume, tidy_symbol
-from marketbars.schema import REQUIRED_FIELDS, require_columns
+from marketbars.schema import BARS, REQUIRED_FIELDS, require_columns
 
-# Order of the bar columns.
-BAR_COLUMNS = ("symbol", "date", "open", "close", "low", "high", "volume")
+BAR_COLUMNS = tuple(BARS.names)
 
 
 def _day(incoming: DataFrame) -> Column:

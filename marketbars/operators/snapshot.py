@@ -28,7 +28,9 @@ def _moment(as_of: datetime) -> Column:
 
 
 def _open_version(columns: Sequence[Column], keys: Sequence[str], row: str, at: Column) -> list[Column]:
-    key = F.concat_ws("|", *[F.col(f"{row}.{k}").cast("string") for k in keys])
+    # Bars within a key part are marked, so that no two keys give one text.
+    parts = [F.regexp_replace(F.col(f"{row}.{k}").cast("string"), r"([|\\])", r"\\$1") for k in keys]
+    key = F.concat(*[p for part in parts for p in (part, F.lit("|"))][:-1])
     return [
         *columns,
         F.md5(F.concat(key, F.lit("|"), at.cast("string"))).alias("scd_id"),

@@ -1,7 +1,7 @@
 """The daily run, in data order: ingest, forecast, publish.
 
 Stages hand over through published tables, so each starts from stored files
-and a failed stage can be run again alone.
+and a failed stage can be run again alone, for the same moment.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketbars.operators.clean import normalize
+from marketbars.operators.clean import clean_counts, normalize
 from marketbars.operators.dedup import keep_one, row_stats
 from marketbars.operators.forecast import backtest, fit, predict
 from marketbars.operators.mart import final_union, mart_stock_analysis
@@ -41,7 +41,7 @@ def run_ingest(spark: SparkSession, incoming: DataFrame, cfg: Settings) -> dict[
     """Incoming bars to the stage, then the raw table refreshed from it.
 
     Loading the stage is one narrow pass. Duplicates are settled once, at the
-    refresh.
+    refresh. Rows per symbol before and after cleaning go to a small table.
     """
     ensure_tables(spark, cfg)
     empty_table(spark, cfg.stage)
@@ -57,8 +57,10 @@ def run_ingest(spark: SparkSession, incoming: DataFrame, cfg: Settings) -> dict[
             raise RuntimeError(f"no data for {sorted(absent)}")
     publish(keep_one(stage), cfg.raw, cfg.location("raw", "market_data"))
     raw = spark.table(cfg.raw)
-    raise_on_duplicates(raw)
     stats = {"staged_rows": staged, **row_stats(raw).first().asDict()}
+    if stats["total_rows"] != stats["distinct_pairs"]:
+        raise_on_duplicates(raw)
+    publish(clean_counts(incoming), cfg.ingest_counts, cfg.location("adhoc", "ingest_counts"))
     log.info("ingested %s", stats)
     return stats
 
@@ -95,7 +97,8 @@ def mart_from(raw: DataFrame, final: DataFrame, strict: bool = False) -> DataFra
 def run_publish(spark: SparkSession, cfg: Settings, as_of: datetime) -> DataFrame:
     """Snapshot, mart, then every check of the staging tables and the mart."""
     raw, final = spark.table(cfg.raw), spark.table(cfg.final)
-    update_snapshot(spark, raw, cfg, as_of)
+    # The ingest has checked that keys are unique.
+    update_snapshot(spark, raw, cfg, as_of, checked=True)
     publish(
         mart_from(raw, final, cfg.strict_forecast),
         cfg.mart,

@@ -24,7 +24,7 @@ def cluster_conf(shuffled_bytes: int, partition_mb: int = 512) -> dict[str, str]
     at 100 TB. These start from partitions that fit a task and spill little;
     adaptive execution then merges small ones and splits skewed join sides.
     """
-    partitions = max(200, min(50_000, math.ceil(shuffled_bytes / (partition_mb * MB))))
+    partitions = max(200, math.ceil(shuffled_bytes / (partition_mb * MB)))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -22,14 +22,15 @@ class Settings:
     ``database`` prefixes the layer schemas (``market_raw``, ``market_adhoc``
     and so on); the environment variable ``MARKETBARS_DATABASE`` overrides it.
     ``base_path`` is the shared folder that holds the table files. ``as_of``
-    ends the look-back; without it each symbol's own last date does.
+    ends the look-back; without it each symbol's own last date does. Without
+    ``train_days`` there is no look-back.
     """
 
     base_path: str
     catalog: str = "spark_catalog"
     database: str = field(default_factory=lambda: os.environ.get("MARKETBARS_DATABASE", "market"))
     symbols: tuple[str, ...] | None = ("AAPL", "NVDA")
-    train_days: int = 180
+    train_days: int | None = 180
     as_of: date | None = None
     horizon: int = 7
     level: float = 0.95
@@ -65,6 +66,10 @@ class Settings:
     def forecast(self) -> str:
         return self.table("adhoc", "market_data_forecast")
 
+    @property
+    def ingest_counts(self) -> str:
+        return self.table("adhoc", "ingest_counts")
+
     @property
     def stg_history(self) -> str:
         return self.table("staging", "stg_market_data")

@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -41,14 +40,3 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     path = run_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def small_side(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
-    """Store a summary once, then hint it for broadcast only if it is small.
-
-    For one-row-per-key summaries of fixed-width columns joined back to their
-    big source. Beyond ``max_rows`` no hint is given and the join shuffles, with
-    the adaptive skew join splitting hot keys.
-    """
-    summary = stored(df, "summary")
-    return F.broadcast(summary) if summary.count() <= max_rows else summary

@@ -1,62 +1,120 @@
 """The stored snapshot table.
 
-Files lie under ``run=<moment>/state=open|closed``. A run writes all open
-versions anew and only the versions it closes; versions closed by earlier runs
-are never read or rewritten. One view names the current run, so replacing it is
-the commit: files of a run that failed before that are not visible.
+Files lie under ``epoch=<n>/state=opened|closed``. A run writes only the versions
+it opens and, for those it closes, their id and closing moment; nothing written
+before is rewritten. One view names the epochs that count, so replacing it is the
+commit. Epochs are numbered by commit: the next run takes the number of a failed
+one, whatever its moment, and overwrites its files, which were never visible.
+
+Each run reads the versions still open, so its cost grows with the history, as
+does the number of files. ``compact`` writes the whole history as one epoch; run
+it when files have become many. Files of epochs before that are no longer read
+and may be removed once no reader uses them.
 """
 
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketbars.operators import snapshot
-from marketbars.operators.quality import raise_on_duplicates
+from marketbars.operators.dedup import KEYS
+from marketbars.operators.quality import QualityError, raise_on_duplicates
 from marketbars.settings import Settings, quoted
 from marketbars.sinks.tables import counted, require_rows
 
-RUN_PROPERTY = "marketbars.run"
+PROPERTIES = ("marketbars.base", "marketbars.epoch", "marketbars.moment")
 
 
 def run_name(as_of: datetime) -> str:
-    """Run folder of a moment; names sort by time and never parse as numbers."""
+    """A moment as text; names sort by time."""
     return as_of.strftime("r%Y%m%dT%H%M%S%f")
 
 
-def current_run(spark: SparkSession, view: str) -> str | None:
+def current_run(spark: SparkSession, view: str) -> tuple[int, int, str] | None:
+    """First and last epoch that count, and the moment of the last."""
     if not spark.catalog.tableExists(view):
         return None
-    rows = spark.sql(f"SHOW TBLPROPERTIES {view} ('{RUN_PROPERTY}')").collect()
-    return rows[0]["value"]
+    found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {view}").collect()}
+    base, epoch, moment = (found[p] for p in PROPERTIES)
+    return int(base), int(epoch), moment
+
+
+def raise_on_null_keys(source: DataFrame) -> None:
+    """Null never equals null, so a key with a null part would open anew at each run."""
+    missing = reduce(or_, [F.col(k).isNull() for k in KEYS])
+    if not source.where(missing).limit(1).isEmpty():
+        raise QualityError(f"null in a key column of {KEYS}")
 
 
 def update_snapshot(
-    spark: SparkSession, source: DataFrame, cfg: Settings, as_of: datetime
+    spark: SparkSession, source: DataFrame, cfg: Settings, as_of: datetime, checked: bool = False
 ) -> DataFrame:
-    """Bring the stored snapshot up to ``source`` as seen at ``as_of``."""
-    base = cfg.location("snapshots", "market_data_snapshot") + "_files"
-    run, last = run_name(as_of), current_run(spark, cfg.snapshot)
-    if last is not None and run <= last:
-        raise ValueError(f"snapshot already stands at {last}; {run} is not later")
-    raise_on_duplicates(source)
+    """Bring the stored snapshot up to ``source`` as seen at ``as_of``.
+
+    The same moment over an unchanged source changes nothing, so a run that
+    failed later on can be repeated. ``checked`` says that keys are known to be
+    unique.
+    """
+    last, moment = current_run(spark, cfg.snapshot), run_name(as_of)
+    if last is not None and moment < last[2]:
+        raise ValueError(f"snapshot already stands at {last[2]}; {moment} is not later")
+    raise_on_null_keys(source)
+    if not checked:
+        raise_on_duplicates(source)
     if last is None:
         versions = snapshot.initial(source, as_of)
     else:
-        # One folder by name: the files of earlier runs are not even listed.
-        opened = spark.read.parquet(f"{base}/run={last}/state=open")
-        versions = snapshot.advance(opened, source, as_of)
-    state = F.when(F.col("valid_to").isNull(), "open").otherwise("closed")
+        held = spark.table(cfg.snapshot)
+        versions = snapshot.advance(snapshot.open_part(held), source, as_of)
+        at = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
+        versions = versions.where((F.col("valid_to") == at) | (F.col("valid_from") == at))
+        if moment == last[2]:
+            # Versions opened at this moment are there; nothing may close or open.
+            opened = held.where(F.col("valid_from") == at).select("scd_id")
+            new = versions.join(opened, "scd_id", "left_anti")
+            if not versions.where(F.col("valid_to").isNotNull()).unionByName(new).isEmpty():
+                raise ValueError(f"snapshot already stands at {last[2]} with other rows")
+            return held
+    state = F.when(F.col("valid_to").isNull(), "opened").otherwise("closed")
     rows, seen = counted(versions.withColumn("state", state))
-    # Overwrites at most a failed attempt at this same, uncommitted run.
-    rows.write.mode("overwrite").partitionBy("state").parquet(f"{base}/run={run}")
-    require_rows(seen, cfg.snapshot)
-    names = ", ".join(map(quoted, versions.columns))
+    base, epoch = (1, 1) if last is None else (last[0], last[1] + 1)
+    # Overwrites at most a failed attempt at this same, uncommitted epoch.
+    rows.write.mode("overwrite").partitionBy("state").parquet(f"{_files(cfg)}/epoch={epoch}")
+    require_rows(seen, cfg.snapshot, allow_empty=last is not None)
+    return _commit(spark, cfg, versions.columns, base, epoch, moment)
+
+
+def compact(spark: SparkSession, cfg: Settings) -> DataFrame:
+    """Write the whole history as one epoch, and read from there on."""
+    base, epoch, moment = current_run(spark, cfg.snapshot)
+    history = spark.table(cfg.snapshot)
+    rows = history.withColumn("state", F.lit("opened"))
+    rows.write.mode("overwrite").partitionBy("state").parquet(f"{_files(cfg)}/epoch={epoch + 1}")
+    return _commit(spark, cfg, history.columns, epoch + 1, epoch + 1, moment)
+
+
+def _files(cfg: Settings) -> str:
+    return cfg.location("snapshots", "market_data_snapshot") + "_files"
+
+
+def _commit(spark: SparkSession, cfg: Settings, columns: list[str], base: int, epoch: int,
+            moment: str) -> DataFrame:
+    files = f"parquet.{quoted(_files(cfg))}"
+    counts = f"epoch BETWEEN {base} AND {epoch}"
+    names = ", ".join(
+        "coalesce(c.valid_to, o.valid_to) AS valid_to" if n == "valid_to" else f"o.{quoted(n)}"
+        for n in columns)
+    held = dict(zip(PROPERTIES, map(str, (base, epoch, moment)), strict=True))
+    listed = ", ".join(f"'{k}' = '{v}'" for k, v in held.items())
     spark.sql(
-        f"CREATE OR REPLACE VIEW {cfg.snapshot} TBLPROPERTIES ('{RUN_PROPERTY}' = '{run}') AS "
-        f"SELECT {names} FROM parquet.{quoted(base)} "
-        f"WHERE (state = 'open' AND run = '{run}') OR (state = 'closed' AND run <= '{run}')"
+        f"CREATE OR REPLACE VIEW {cfg.snapshot} TBLPROPERTIES ({listed}) AS "
+        f"SELECT {names} FROM (SELECT * FROM {files} WHERE state = 'opened' AND {counts}) o "
+        f"LEFT JOIN (SELECT scd_id, valid_to FROM {files} WHERE state = 'closed' AND {counts}) c "
+        f"ON o.scd_id = c.scd_id"
     )
     return spark.table(cfg.snapshot)

@@ -3,7 +3,9 @@
 A published table is replaced by writing a new folder and then pointing the
 table at it. Readers see the old rows or the new ones, never an empty or
 half-written table; no folder that a plan may be reading is ever overwritten,
-and a lost executor only repeats its tasks.
+and a lost executor only repeats its tasks. Where the new rows have other
+columns the table is dropped and created again: for that moment readers find no
+table, and a failure in between is mended by publishing again.
 """
 
 from __future__ import annotations

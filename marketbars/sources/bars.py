@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketbars.schema import BARS, BARS_TEXT
-from marketbars.shared import small_side
 
 
 def read_bars(
@@ -64,26 +63,26 @@ def daily_bars(
 
 def lookback(
     bars: DataFrame,
-    days: int = 180,
+    days: int | None = 180,
     as_of: date | None = None,
-    max_broadcast_rows: int = 500_000,
 ) -> DataFrame:
     """The last ``days`` days up to ``as_of``, or up to each symbol's last date.
 
     With ``as_of`` this is two date bounds, pushed to the scan, and no shuffle.
-    Without it, the last date per symbol is aggregated map-side, written, and
-    joined back: broadcast when its counted rows are few, so the bars are not
-    shuffled, and a skew-split shuffle join beyond that.
+    Without it, the last date per symbol is aggregated map-side and joined back;
+    the engine chooses how from the sizes it measures, and splits hot symbols.
+    Without ``days`` all bars up to ``as_of`` stay.
     """
+    if days is None:
+        return bars if as_of is None else bars.where(F.col("date") <= F.lit(as_of).cast("date"))
     if days < 1:
         raise ValueError("days must be at least 1")
     if as_of is not None:
         end = F.lit(as_of).cast("date")
         return bars.where((F.col("date") > F.date_sub(end, days)) & (F.col("date") <= end))
     last = bars.groupBy("symbol").agg(F.max("date").alias("last_date"))
-    last = small_side(last.dropna(), max_broadcast_rows)
     return (
-        bars.join(last, "symbol")
+        bars.join(last.dropna(), "symbol")
         .where(F.col("date") > F.date_sub("last_date", days))
         .select(*bars.columns)
     )

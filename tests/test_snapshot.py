@@ -5,7 +5,7 @@ from helpers import bars, closes, exchanges, moment, plan, rows
 from marketbars.operators import snapshot
 from marketbars.operators.quality import QualityError
 from marketbars.settings import Settings
-from marketbars.sinks.history import current_run, update_snapshot
+from marketbars.sinks.history import compact, current_run, update_snapshot
 from marketbars.sinks.tables import EmptyWriteError, ensure_tables
 
 T1, T2, T3 = moment("2025-02-01"), moment("2025-02-02"), moment("2025-02-03T06:30:00")
@@ -83,11 +83,67 @@ def test_files_of_a_failed_run_are_not_seen(spark, tmp_path):
     update_snapshot(spark, bars(spark, FIRST), cfg, T1)
     base = cfg.location("snapshots", "market_data_snapshot") + "_files"
     junk = spark.table(cfg.snapshot).withColumn("valid_to", F.lit(T2).cast("timestamp_ntz"))
-    for state in ("open", "closed"):
-        junk.write.parquet(f"{base}/run=r20250202T000000000000/state={state}")
+    for state in ("opened", "closed"):
+        junk.write.parquet(f"{base}/epoch=2/state={state}")
     spark.catalog.refreshTable(cfg.snapshot)
     assert spark.table(cfg.snapshot).count() == 4
+    # The next run has another moment than the one that failed, and the same epoch.
+    third = update_snapshot(spark, bars(spark, SECOND), cfg, T3)
+    assert summary(third) == sorted(
+        [(*r[:3], *[T3 if m == T2 else m for m in r[3:]]) for r in GOLDEN], key=str)
+
+
+def test_the_same_moment_again_changes_nothing(spark, tmp_path):
+    cfg = settings(tmp_path, "snap5")
+    ensure_tables(spark, cfg)
+    update_snapshot(spark, bars(spark, FIRST), cfg, T1)
+    update_snapshot(spark, bars(spark, SECOND), cfg, T2)
+    held = current_run(spark, cfg.snapshot)
     assert summary(update_snapshot(spark, bars(spark, SECOND), cfg, T2)) == GOLDEN
+    assert current_run(spark, cfg.snapshot) == held
+    with pytest.raises(ValueError, match="other rows"):
+        update_snapshot(spark, bars(spark, FIRST), cfg, T2)
+
+
+def test_an_unchanged_run_writes_no_versions(spark, tmp_path):
+    cfg = settings(tmp_path, "snap6")
+    ensure_tables(spark, cfg)
+    for moment_ in (T1, T2, T3):
+        update_snapshot(spark, bars(spark, FIRST), cfg, moment_)
+    files = cfg.location("snapshots", "market_data_snapshot") + "_files"
+    assert spark.read.parquet(files).count() == len(FIRST)
+
+
+def test_one_version_of_a_key_at_any_moment_and_after_compaction(spark, tmp_path):
+    import random
+
+    rng = random.Random(6)
+    cfg = settings(tmp_path, "snap7")
+    ensure_tables(spark, cfg)
+    moments = [moment(f"2025-03-{d:02d}") for d in range(1, 6)]
+    for as_of in moments:
+        rows_ = [at(f"k{k}", float(rng.randrange(3)), 1) for k in range(6) if rng.random() < 0.8]
+        update_snapshot(spark, bars(spark, rows_), cfg, as_of)
+    whole = summary(spark.table(cfg.snapshot))
+    for as_of in moments:
+        live = [r[0] for r in whole if r[3] <= as_of and (r[4] is None or as_of < r[4])]
+        assert len(live) == len(set(live))
+    assert summary(compact(spark, cfg)) == whole
+    base, epoch, _ = current_run(spark, cfg.snapshot)
+    assert base == epoch == 6
+
+
+def test_null_keys_are_refused(spark, tmp_path):
+    cfg = settings(tmp_path, "snap8")
+    ensure_tables(spark, cfg)
+    with pytest.raises(QualityError, match="null"):
+        update_snapshot(spark, bars(spark, [*FIRST, at(None, 1.0, 1)]), cfg, T1)
+
+
+def test_bars_in_keys_do_not_confuse_ids(spark):
+    source = spark.createDataFrame([("a|", "b", 1.0, 1), ("a", "|b", 1.0, 1)],
+                                   "x string, y string, close double, volume long")
+    assert snapshot.initial(source, T1, ("x", "y")).select("scd_id").distinct().count() == 2
 
 
 def test_duplicate_source_keys_are_refused(spark, tmp_path):

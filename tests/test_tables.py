@@ -6,7 +6,7 @@ from marketbars.plans.daily import run_forecast, run_ingest, run_publish
 from marketbars.schema import BARS
 from marketbars.session import cluster_conf
 from marketbars.settings import Settings, quoted
-from marketbars.shared import run_dir, shared_dir, small_side
+from marketbars.shared import run_dir, shared_dir
 from marketbars.sinks.tables import (
     EmptyWriteError,
     append,
@@ -161,13 +161,6 @@ def test_shared_dir_is_read_from_the_session(spark):
     assert run_dir(spark, "x") != run_dir(spark, "x")
 
 
-def test_small_side_is_not_hinted_beyond_its_limit(spark):
-    df = closes(spark, [(f"S{i}", "2025-01-01", 1.0) for i in range(5)])
-    hint = "ResolvedHint (strategy=broadcast)"
-    assert hint in small_side(df, 5)._jdf.queryExecution().analyzed().toString()
-    assert hint not in small_side(df, 4)._jdf.queryExecution().analyzed().toString()
-
-
 def test_names_are_quoted():
     assert quoted("a", "b`c") == "`a`.`b``c`"
 
@@ -175,4 +168,24 @@ def test_names_are_quoted():
 def test_cluster_settings_follow_the_shuffle_size():
     assert cluster_conf(0)["spark.sql.shuffle.partitions"] == "200"
     assert cluster_conf(2**40)["spark.sql.shuffle.partitions"] == "2048"
-    assert cluster_conf(10**15)["spark.sql.shuffle.partitions"] == "50000"
+    assert cluster_conf(10**15)["spark.sql.shuffle.partitions"] == "1862646"
+
+
+def test_publish_can_be_repeated_after_a_failed_mart(spark, tmp_path, monkeypatch):
+    from marketbars.plans import daily
+
+    cfg = settings(tmp_path, "t20", symbols=None)
+    days = [f"2025-01-{d:02d}" for d in range(1, 21)]
+    incoming = delivery(spark, [(d, "AAPL", "1", str(10 + k), "1", "1", "5") for k, d in enumerate(days)])
+    run_ingest(spark, incoming, cfg)
+    assert [tuple(r) for r in spark.table(cfg.ingest_counts).collect()] == [("AAPL", 20, 20)]
+    run_forecast(spark, cfg)
+    as_of = moment("2025-01-21")
+    with monkeypatch.context() as broken:
+        broken.setattr(daily, "publish", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            run_publish(spark, cfg, as_of)
+    held = rows(spark.table(cfg.snapshot))
+    assert len(held) == 20
+    assert run_publish(spark, cfg, as_of).count() > 20
+    assert rows(spark.table(cfg.snapshot)) == held
