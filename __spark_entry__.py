@@ -102,7 +102,7 @@ def _raw(spark: SparkSession, sf: str) -> DataFrame:
 
 def _with_predictions(raw: DataFrame, holdout: int = 0) -> DataFrame:
     """History and trend predictions; ``holdout`` makes the model a stale one."""
-    return mart.final_union(raw, fc.predict(fc.fit(staging.train_view(raw), holdout=holdout)))
+    return mart.final_union(raw, fc.predict(fc.fit(staging.train_view(raw), holdout=holdout, keyed=True)))
 
 
 def _final(spark: SparkSession, sf: str) -> DataFrame:
@@ -270,31 +270,31 @@ def _daily_run_mart(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _trend_params(spark: SparkSession, sf: str) -> DataFrame:
-    model = fc.fit(staging.train_view(_raw(spark, sf)))
+    model = fc.fit(staging.train_view(_raw(spark, sf)), keyed=True)
     return _rounded(model.where("reason IS NULL").select(
         "series", "n_obs", "last_ts", "slope", "intercept", "sigma", "method"))
 
 
 def _skipped_series(spark: SparkSession, sf: str) -> DataFrame:
-    return fc.skipped(fc.fit(staging.train_view(_raw(spark, sf)), min_obs=oracle.MANY_OBS))
+    return fc.skipped(fc.fit(staging.train_view(_raw(spark, sf)), min_obs=oracle.MANY_OBS, keyed=True))
 
 
 def _forecast(method: str, **options) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        return _rounded(fc.forecast(staging.train_view(_raw(spark, sf)), method, **options))
+        return _rounded(fc.forecast(staging.train_view(_raw(spark, sf)), method, keyed=True, **options))
 
     return query
 
 
 def _backtest(method: str) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        return _rounded(fc.backtest(staging.train_view(_raw(spark, sf)), method))
+        return _rounded(fc.backtest(staging.train_view(_raw(spark, sf)), method, keyed=True))
 
     return query
 
 
 def _clean_series(spark: SparkSession, sf: str) -> DataFrame:
-    ahead = fc.forecast(staging.train_view(_raw(spark, sf)))
+    ahead = fc.forecast(staging.train_view(_raw(spark, sf)), keyed=True)
     quoted = F.concat(F.lit('"'), F.col("series"), F.lit('"'))
     return _rounded(mart.clean_series(ahead.withColumn("series", quoted)))
 
