@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as contract
 import corpus_pipeline
+from marketbars.llm import isolation
 from marketbars.llm import queries as llm
 
 SF = "/root/testdata/sf0.01"
@@ -40,6 +41,16 @@ def test_quality_rules_keep_good_documents(spark):
     assert not found[found["base_failed"]]["kept"].any()
 
 
+def test_quality_rules_reject_low_quality_of_other_labels(spark):
+    """Thresholds from the labels of even ids judge the documents of odd ids."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    found = isolation.judge(docs, labels.where("doc_id % 2 = 0")).toPandas()
+    both = found[~found["base_failed"]].merge(labels.where("doc_id % 2 = 1").toPandas(), on="doc_id")
+    assert both[both["quality"] == 1]["kept"].mean() > 0.98
+    assert both[both["quality"] == 0]["kept"].mean() < 0.2
+
+
 @pytest.mark.parametrize("name", sorted(llm.oracle_sql()))
 def test_sql(spark, name):
     from check import compare, connect
