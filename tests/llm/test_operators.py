@@ -229,8 +229,9 @@ def test_banded_automaton_equals_edit_distance(spark, errors):
     assert [r.w for r in got] == [edits(r.a, r.b) <= errors for r in got]
 
 
-@pytest.mark.parametrize("errors", [1, 2])
-def test_removed_lines_equal_brute_force(spark, errors):
+@pytest.mark.parametrize(("errors", "hot"), [(1, 16), (1, 1), (2, 1)])
+def test_removed_lines_equal_brute_force(spark, monkeypatch, errors, hot):
+    monkeypatch.setattr(lines, "HOT_LINES", hot)
     rng = random.Random(8)
     base = ["".join(rng.choice("abcd") for _ in range(rng.randrange(6, 16))) for _ in range(20)]
     docs = [(d, "\n".join(changed(rng, rng.choice(base), rng.randrange(3)) for _ in range(rng.randrange(6))))
@@ -246,6 +247,26 @@ def test_removed_lines_equal_brute_force(spark, errors):
     assert got == want
 
 
+def test_lines_within_one_edit_share_a_finer_hash(spark):
+    rng = random.Random(4)
+    pairs = [(a, changed(rng, a, 1)) for a in (
+        "".join(rng.choice("abé") for _ in range(rng.randrange(1, 40))) for _ in range(300))]
+    shared = F.arrays_overlap(*[lines.fine_hashes(F.col(c), F.length(c), 1) for c in "ab"])
+    assert spark.createDataFrame(pairs, "a string, b string").where(~shared).count() == 0
+
+
+def test_hot_key_of_unlike_lines(spark):
+    """Lines with one common half: equal to brute force, with the key split."""
+    rng = random.Random(5)
+    half = "one half that all of these lines share, "
+    tails = ["".join(rng.choice("abcdef") for _ in range(40)) for _ in range(60)]
+    tails += [changed(rng, rng.choice(tails), rng.randrange(1, 3)) for _ in range(60)]
+    docs = [(k, half + t) for k, t in enumerate(tails)]
+    got = {r.doc_key for r in lines.removed_lines(
+        spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {k for k, t in docs if any(edits(t, m) <= 1 for _, m in docs[:k])}
+
+
 def test_line_dedup_text(documents):
     long_line = "a line of more than twenty-four characters"
     rows = [(1, f"{long_line}\nshort\n{long_line}"), (2, f"{long_line}!\nshort"), (3, long_line), (4, None)]
