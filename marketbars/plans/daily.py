@@ -23,6 +23,7 @@ from marketbars.operators.quality import (
 )
 from marketbars.operators.staging import forecast_rows, history_rows
 from marketbars.settings import Settings
+from marketbars.shared import stored
 from marketbars.sinks.history import update_snapshot
 from marketbars.sinks.tables import (
     append,
@@ -99,8 +100,9 @@ def run_publish(spark: SparkSession, cfg: Settings, as_of: datetime) -> DataFram
     raw, final = spark.table(cfg.raw), spark.table(cfg.final)
     # The ingest has checked that keys are unique.
     update_snapshot(spark, raw, cfg, as_of, checked=True)
+    # Ranges are found by sampling: of stored rows, so that the window runs once.
     publish(
-        mart_from(raw, final, cfg.strict_forecast),
+        stored(mart_from(raw, final, cfg.strict_forecast), "mart"),
         cfg.mart,
         cfg.location("analytics", "mart_stock_analysis"),
         range_by=("symbol", "date"),
