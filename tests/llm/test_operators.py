@@ -267,6 +267,24 @@ def test_hot_key_of_unlike_lines(spark):
     assert got == {k for k, t in docs if any(edits(t, m) <= 1 for _, m in docs[:k])}
 
 
+@pytest.mark.parametrize("hot", [16, 1])
+def test_threshold_grows_with_the_length(spark, monkeypatch, hot):
+    """One error for 20 characters of the shorter line: equal to brute force, also on split keys."""
+    monkeypatch.setattr(lines, "HOT_LINES", hot)
+    rng = random.Random(11)
+    letters = "abcdefghé "
+    base = ["".join(rng.choice(letters) for _ in range(rng.choice((24, 39, 40, 61, 90, 130, 200)))) for _ in range(20)]
+    base += [base[6] + "".join(rng.choice(letters) for _ in range(60)) for _ in range(6)]
+    found = base + [changed(rng, t, rng.randrange(1, 3 + len(t) // 20)) for t in base for _ in range(2)]
+    docs = list(enumerate(found))
+    got = {r.doc_key for r in lines.removed_lines(
+        spark.createDataFrame(docs, "doc_id long, text string"), every=20).collect()}
+    want = {k for k, t in docs if len(t) >= 24 and any(
+        len(m) >= 24 and edits(t, m) <= max(1, min(31, min(len(t), len(m)) // 20)) for _, m in docs[:k])}
+    assert got == want
+    assert len(want) > len({k for k, t in docs if any(edits(t, m) <= 1 for _, m in docs[:k])})
+
+
 def test_line_dedup_text(documents):
     long_line = "a line of more than twenty-four characters"
     rows = [(1, f"{long_line}\nshort\n{long_line}"), (2, f"{long_line}!\nshort"), (3, long_line), (4, None)]
