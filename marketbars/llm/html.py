@@ -4,11 +4,14 @@ Pages of a host are compared in groups. In every group each page is cut into
 tokens: opening tags by their path of names and classes, and text blocks by path
 and text. A token's occurrence vector says how often it occurs on each page.
 Tokens that share a vector form an equivalence class; the class that occurs once
-on every page, kept if its tokens nest and keep their order, is the template, and
-classes of larger equal counts nest in it as repeated parts. What lies between
-template tokens are the slots. The slot path that holds most text outside
-menus, notices and other furniture is the article; all remaining slots below it
-make the main text. Text blocks that belong to the template itself (equal on
+on every page, kept if its tokens keep their order, is the template, and classes
+of a larger count that is equal on all pages nest in it as repeated parts. What
+lies between template tokens are the slots. The slot path that holds most text
+outside menus, notices and other furniture is the article. Repeated parts below
+it are furniture, whatever their names, if they hold its smaller part
+(``MINOR_SHARE``) and are no paragraphs, headings, lists or tables; a part whose
+count differs between pages, or that occurs once, counts as text unless its name
+says otherwise. All remaining slots make the main text. Text blocks that belong to the template itself (equal on
 nearly all pages whose articles differ) are furniture too.
 
 A group holds one host's pages, about ``GROUP_PAGES`` of them: hosts with more
@@ -28,7 +31,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections import Counter, defaultdict
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -41,6 +44,8 @@ GROUP_PAGES = 64
 #: Pages, and share of them, on which a text block must recur to be template text.
 TEMPLATE_PAGES = 8
 TEMPLATE_SHARE = 0.9
+#: Share of the article's text that a part of the template holds at most to be furniture.
+MINOR_SHARE = 0.25
 
 #: Tag names by their role in HTML.
 RAW = ("script", "style", "noscript", "template", "textarea", "svg", "iframe", "object", "select",
@@ -112,10 +117,10 @@ def _role(name: str, attributes: str) -> str:
     return ".".join([name, *found])
 
 
-def parse(page: str | None) -> tuple[list[Block], list[tuple[str, ...]]]:
-    """A page's text blocks and the paths of its opening block tags, in page order."""
+def parse(page: str | None) -> tuple[list[Block], list[tuple]]:
+    """A page's text blocks, and its tokens in page order: (path,) of tags, (path, text) of blocks."""
     blocks: list[Block] = []
-    opened: list[tuple[str, ...]] = []
+    tokens: list[tuple] = []
     stack: list[tuple[str, str, bool]] = []
     parts: list[str] = []
     inline_furniture: list[str] = []
@@ -125,6 +130,7 @@ def parse(page: str | None) -> tuple[list[Block], list[tuple[str, ...]]]:
         parts.clear()
         if text:
             blocks.append(Block(tuple(r for _, r, _ in stack), text, any(f for _, _, f in stack)))
+            tokens.append((blocks[-1].path, text))
 
     page = page or ""
     at = 0
@@ -169,22 +175,83 @@ def parse(page: str | None) -> tuple[list[Block], list[tuple[str, ...]]]:
             stack.pop()
         in_article = any(n in ARTICLE_TAGS for n, _, _ in stack)
         role = _role(name, attributes)
-        opened.append((*(r for _, r, _ in stack), role))
+        tokens.append(((*(r for _, r, _ in stack), role),))
         if name not in VOID and not attributes.rstrip().endswith("/"):
             stack.append((name, role, _furniture(name, attributes, in_article)))
     close_block()
-    return blocks, opened
+    return blocks, tokens
 
 
-def _template(vectors: dict[object, tuple[int, ...]], firsts: dict[object, list[int]]) -> set:
-    """Of the class that occurs once on every page, the tokens that keep one order."""
-    once = [t for t, v in vectors.items() if set(v) == {1}]
-    once.sort(key=lambda t: firsts[t][0])
+def _classes(tokens: list[list[tuple]]) -> tuple[dict[tuple[int, ...], list], dict]:
+    """Equivalence classes, by occurrence vector over the pages, and every token's places."""
+    places: dict[tuple, list[list[int]]] = defaultdict(lambda: [[] for _ in tokens])
+    for k, page in enumerate(tokens):
+        for place, token in enumerate(page):
+            places[token][k].append(place)
+    classes: dict[tuple[int, ...], list] = defaultdict(list)
+    for token, found in places.items():
+        classes[tuple(map(len, found))].append(token)
+    return classes, places
+
+
+def _regular(vector: tuple[int, ...]) -> int:
+    """The count that a class has on every page; else 0."""
+    return vector[0] if vector and len(set(vector)) == 1 else 0
+
+
+def _ordered(class_tokens: list, places: dict) -> list:
+    """The tokens of a class that keep one order in all its occurrences."""
     kept: list = []
-    for token in once:
-        if not kept or all(a < b for a, b in zip(firsts[kept[-1]], firsts[token], strict=True)):
+    for token in sorted(class_tokens, key=lambda t: next(f for f in places[t] if f)[0]):
+        before = places[kept[-1]] if kept else None
+        if before is None or all(
+                a < b and (i + 1 == len(x) or b < x[i + 1])
+                for x, y in zip(before, places[token], strict=True)
+                if len(x) == len(y) for i, (a, b) in enumerate(zip(x, y, strict=True))):
             kept.append(token)
-    return set(kept)
+    return kept
+
+
+def _template(classes: dict, places: dict) -> set:
+    """Tag paths of the class that occurs once on every page, kept if they keep one order."""
+    once = [t for v, found in classes.items() if _regular(v) == 1 for t in found]
+    return {t[0] for t in _ordered(once, places) if len(t) == 1}
+
+
+def _repeated(classes: dict, places: dict, container: tuple[str, ...]) -> set:
+    """Roots of the parts that the template repeats a fixed number of times below the container.
+
+    A class of larger equal counts, ordered, is one part; its first tag, if no
+    text tag, is the root that the other tokens nest in.
+    """
+    depth, roots = len(container), set()
+    for vector, found in classes.items():
+        if _regular(vector) < 2:
+            continue
+        for token in _ordered(found, places):
+            path = token[0]
+            if len(token) > 1 or len(path) <= depth or path[:depth] != container:
+                continue
+            if any(r.split(".")[0] in TEXT_TAGS for r in path[depth:]):
+                continue
+            if not any(path[:len(r)] == r for r in roots):
+                roots.add(path)
+    return roots
+
+
+def _minor(parsed: list, container: tuple[str, ...], paths: set) -> set:
+    """Of furniture paths, those whose slots hold the smaller part of the container's text."""
+    inside: Counter = Counter()
+    total = 0
+    for blocks, _ in parsed:
+        for b in blocks:
+            if b.furniture or b.path[:len(container)] != container:
+                continue
+            total += len(b.text)
+            for depth in range(len(container) + 1, len(b.path) + 1):
+                if b.path[:depth] in paths:
+                    inside[b.path[:depth]] += len(b.text)
+    return {p for p in paths if inside[p] <= MINOR_SHARE * total}
 
 
 def _container(parsed: list, template: set) -> tuple[str, ...]:
@@ -217,20 +284,21 @@ def _container(parsed: list, template: set) -> tuple[str, ...]:
     return best
 
 
+def _without(parsed: list, paths: set) -> list:
+    """Pages whose blocks below ``paths`` count as furniture."""
+    return [([replace(b, furniture=b.furniture or any(
+        b.path[:d] in paths for d in range(1, len(b.path) + 1))) for b in blocks], tokens)
+        for blocks, tokens in parsed] if paths else parsed
+
+
 def extract(pages: list[str | None]) -> list[str]:
     """Main texts of pages of one host."""
     parsed = [parse(p) for p in pages]
-    counts: dict[object, list[int]] = defaultdict(lambda: [0] * len(parsed))
-    firsts: dict[object, list[int]] = defaultdict(lambda: [-1] * len(parsed))
-    whole = [k for k, (blocks, opened) in enumerate(parsed) if blocks or opened]
-    for k, (_, opened) in enumerate(parsed):
-        for place, token in enumerate(opened):
-            counts[token][k] += 1
-            if firsts[token][k] < 0:
-                firsts[token][k] = place
-    vectors = {t: tuple(v[k] for k in whole) for t, v in counts.items()}
-    template = _template(vectors, {t: [v[k] for k in whole] for t, v in firsts.items()})
-    container = _container(parsed, template)
+    whole = [k for k, (_, tokens) in enumerate(parsed) if tokens]
+    classes, places = _classes([parsed[k][1] for k in whole])
+    container = _container(parsed, _template(classes, places))
+    if len(whole) >= TEMPLATE_PAGES:
+        parsed = _without(parsed, _minor(parsed, container, _repeated(classes, places, container)))
     depth = len(container)
 
     def slots(blocks: list[Block]) -> list[Block]:

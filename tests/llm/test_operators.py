@@ -395,6 +395,26 @@ def test_html_main_text():
         "Head & line\n\nOne two\n\nThree four", "", "", "plain text"]
 
 
+def host_page(k, inside="", article="<article>{}</article>"):
+    body = "".join(f"<p>text {k} of paragraph {j}, long enough to be an article's text</p>" for j in range(3 + k % 3))
+    return f"<html><body><nav>menu</nav>{article.format(f'<h1>head {k}</h1>{body}{inside}')}<footer>f</footer></body></html>"
+
+
+def host_text(k):
+    return "\n\n".join([f"head {k}", *(
+        f"text {k} of paragraph {j}, long enough to be an article's text" for j in range(3 + k % 3))])
+
+
+def test_repeated_part_without_a_listed_name_is_furniture():
+    pages = [host_page(k, "".join(f"<div class=x12><div>buy {k * 7 + j}</div></div>" for j in range(3)))
+             for k in range(12)]
+    assert html.extract(pages) == [host_text(k) for k in range(12)]
+    # Sections that hold most of the article are no furniture.
+    pages = [host_page(k, "".join(f"<section>{'word ' * 100}{k * 7 + j}</section>" for j in range(3)))
+             for k in range(12)]
+    assert all(t.count("word") == 300 for t in html.extract(pages))
+
+
 def test_html_queries_awkward_rows(spark):
     rows = [(1, "http://a.org/x", "<p>a</p>"), (1, "http://a.org/x", "<p>a</p>"), (2, None, None),
             (None, "http://A.org/y", "<div><p>b</div>")]
