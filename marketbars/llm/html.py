@@ -1,11 +1,13 @@
 """HTML extraction by equivalence-class template deduction over pages of one host.
 
-Pages of a host are compared in groups. In every group each page is cut into
+Pages of a host are compared in groups, and in every group the pages of one layout:
+those that share at least half (``LAYOUT_SHARE``) of their tag paths. Each is cut into
 tokens: opening tags by their path of names and classes, and text blocks by path
 and text. A token's occurrence vector says how often it occurs on each page.
-Tokens that share a vector form an equivalence class; the class that occurs once
-on every page, kept if its tokens keep their order, is the template, and classes
-of a larger count that is equal on all pages nest in it as repeated parts. What
+Tokens that share a vector form an equivalence class; the classes that
+occur once on nearly every page (``TEMPLATE_SHARE``), kept if their tokens keep
+their order, are the template, and classes of a larger count that is equal on
+nearly all pages nest in it as repeated parts. What
 lies between template tokens are the slots. The slot path that holds most text
 outside menus, notices and other furniture is the article. Repeated parts below
 it are furniture, whatever their names, if they hold its smaller part
@@ -41,9 +43,11 @@ from pyspark.sql import types as T
 from marketbars.shared import stored
 
 GROUP_PAGES = 64
-#: Pages, and share of them, on which a text block must recur to be template text.
+#: Pages, and share of them, on which a token must recur to be part of a template.
 TEMPLATE_PAGES = 8
 TEMPLATE_SHARE = 0.9
+#: Share of common tag paths from which two pages are of one layout.
+LAYOUT_SHARE = 0.5
 #: Share of the article's text that a part of the template holds at most to be furniture.
 MINOR_SHARE = 0.25
 
@@ -195,25 +199,28 @@ def _classes(tokens: list[list[tuple]]) -> tuple[dict[tuple[int, ...], list], di
 
 
 def _regular(vector: tuple[int, ...]) -> int:
-    """The count that a class has on every page; else 0."""
-    return vector[0] if vector and len(set(vector)) == 1 else 0
+    """The count that a class has on nearly all pages; else 0."""
+    count, times = Counter(vector).most_common(1)[0] if vector else (0, 0)
+    return count if times >= TEMPLATE_SHARE * len(vector) else 0
 
 
 def _ordered(class_tokens: list, places: dict) -> list:
-    """The tokens of a class that keep one order in all its occurrences."""
+    """The tokens of a class that keep one order in their occurrences on nearly all pages."""
     kept: list = []
     for token in sorted(class_tokens, key=lambda t: next(f for f in places[t] if f)[0]):
-        before = places[kept[-1]] if kept else None
-        if before is None or all(
-                a < b and (i + 1 == len(x) or b < x[i + 1])
-                for x, y in zip(before, places[token], strict=True)
-                if len(x) == len(y) for i, (a, b) in enumerate(zip(x, y, strict=True))):
-            kept.append(token)
+        if kept:
+            kinds = [all(a < b and (i + 1 == len(x) or b < x[i + 1])
+                         for i, (a, b) in enumerate(zip(x, y, strict=True)))
+                     for x, y in zip(places[kept[-1]], places[token], strict=True)
+                     if x and len(x) == len(y)]
+            if sum(kinds) < TEMPLATE_SHARE * len(kinds):
+                continue
+        kept.append(token)
     return kept
 
 
 def _template(classes: dict, places: dict) -> set:
-    """Tag paths of the class that occurs once on every page, kept if they keep one order."""
+    """Tag paths of the classes that occur once on nearly every page, kept if they keep one order."""
     once = [t for v, found in classes.items() if _regular(v) == 1 for t in found]
     return {t[0] for t in _ordered(once, places) if len(t) == 1}
 
@@ -291,9 +298,38 @@ def _without(parsed: list, paths: set) -> list:
         for blocks, tokens in parsed] if paths else parsed
 
 
+def _layouts(parsed: list) -> list[list[int]]:
+    """Numbers of the pages of each layout: pages whose tag paths are mostly the same.
+
+    Paths of paragraphs, lists and tables, which come with the text, do not count.
+    """
+    heads: list[set] = []
+    members: list[list[int]] = []
+    for k, (_, tokens) in enumerate(parsed):
+        paths = {t[0] for t in tokens if len(t) == 1 and not any(
+            r.split(".")[0] in TEXT_TAGS for r in t[0])}
+        shares = [len(h & paths) / len(h | paths) if h | paths else 1.0 for h in heads]
+        best = max(range(len(shares)), key=shares.__getitem__, default=None)
+        if best is None or shares[best] < LAYOUT_SHARE:
+            heads.append(paths)
+            members.append([k])
+        else:
+            members[best].append(k)
+    return members
+
+
 def extract(pages: list[str | None]) -> list[str]:
-    """Main texts of pages of one host."""
+    """Main texts of pages of one host; each layout has its own template."""
     parsed = [parse(p) for p in pages]
+    texts = [""] * len(parsed)
+    for layout in _layouts(parsed):
+        for k, text in zip(layout, _extract([parsed[k] for k in layout]), strict=True):
+            texts[k] = text
+    return texts
+
+
+def _extract(parsed: list) -> list[str]:
+    """Main texts of parsed pages of one layout."""
     whole = [k for k, (_, tokens) in enumerate(parsed) if tokens]
     classes, places = _classes([parsed[k][1] for k in whole])
     container = _container(parsed, _template(classes, places))

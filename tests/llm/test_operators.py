@@ -415,6 +415,18 @@ def test_repeated_part_without_a_listed_name_is_furniture():
     assert all(t.count("word") == 300 for t in html.extract(pages))
 
 
+def test_odd_pages_do_not_spoil_the_template():
+    layout = ("<div class=x1>side {k}</div><div class=content>{{}}</div><div class=x2>more {k} "
+              + "links " * 5 + "</div>")
+    pages = [host_page(k, article=layout.format(k=k)) for k in range(40)]
+    pages[3] = "<html><body><div class=error><p>not found</p></div></body></html>"
+    pages[5] = host_page(5, article=layout.format(k=5) + "<div class=content><p>second part</p></div>")
+    got = html.extract(pages)
+    assert [got[k] for k in range(40) if k not in (3, 5)] == [host_text(k) for k in range(40) if k not in (3, 5)]
+    assert got[3] == "not found"
+    assert got[5] == host_text(5) + "\n\nsecond part"
+
+
 def test_html_queries_awkward_rows(spark):
     rows = [(1, "http://a.org/x", "<p>a</p>"), (1, "http://a.org/x", "<p>a</p>"), (2, None, None),
             (None, "http://A.org/y", "<div><p>b</div>")]
