@@ -16,9 +16,17 @@ count differs between pages, or that occurs once, counts as text unless its name
 says otherwise. All remaining slots make the main text. Text blocks that belong to the template itself (equal on
 nearly all pages whose articles differ) are furniture too.
 
+Names tell furniture as far as these go: a tag of ``FURNITURE_TAGS``, a hidden one
+(by its own ``hidden`` attribute or its style) and one of a furniture role always;
+a class or id that is a listed name, outside the article; a class or id that only
+holds a listed word, and any listed name inside the article, where the tag belongs
+to the template too (an equal count on nearly all of at least ``TEMPLATE_PAGES``
+pages) and holds the smaller part of the text. Headings and paragraphs never go by
+a word of their names.
+
 A group holds one host's pages, about ``GROUP_PAGES`` of them: hosts with more
 are split by a hash of the page. Small hosts make small groups, down to one page,
-where only names and classes of tags tell furniture from text. Pages shuffle
+where only the first two tell furniture from text. Pages shuffle
 once. The table of page counts per host is written first, so that Spark knows its
 size when it chooses the join.
 
@@ -67,6 +75,7 @@ FURNITURE_ROLES = frozenset((
 ARTICLE_TAGS = frozenset(("article", "main"))
 TEXT_TAGS = frozenset(("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "dl", "dt", "dd",
                        "blockquote", "pre", "figure", "figcaption", "table", "tbody", "tr", "td", "th"))
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 #: Words of class and id names that mark furniture.
 FURNITURE_WORDS = frozenset((
     "ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb",
@@ -78,9 +87,9 @@ FURNITURE_WORDS = frozenset((
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][\w:-]*)"
                     r"((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _WORD = re.compile(r"[a-z]+")
-_HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none", re.I)
+_NOT_SHOWN = re.compile(r"display\s*:\s*none", re.I)
 _RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 #: Opening one of the former closes an open one of the latter.
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
@@ -89,43 +98,61 @@ _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "t
 
 @dataclass(frozen=True)
 class Block:
-    """A run of text between block-level tags: its path and whether furniture holds it."""
+    """A run of text between block-level tags: its path and whether furniture holds it.
+
+    ``named`` are the paths of its elements that a listed word makes furniture if
+    they belong to the template.
+    """
 
     path: tuple[str, ...]
     text: str
     furniture: bool
+    named: tuple[tuple[str, ...], ...] = ()
+
+
+def _attributes(text: str) -> dict[str, str]:
+    """Attributes by lower-case name; the first of a name counts."""
+    found: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(text):
+        found.setdefault(name.lower(), next((v for v in values if v), ""))
+    return found
 
 
-def _furniture(name: str, attributes: str, in_article: bool) -> bool:
+def _names(attributes: dict[str, str]) -> list[str]:
+    """Class and id names."""
+    return f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split()
+
+
+def _furniture(name: str, attributes: dict[str, str], in_article: bool) -> bool:
+    """Whether a tag is furniture by itself: outside the article also by a whole listed name."""
     if name in FURNITURE_TAGS or (name == "header" and not in_article):
         return True
-    if not attributes:
-        return False
-    if _HIDDEN.search(attributes):
+    if "hidden" in attributes or _NOT_SHOWN.search(attributes.get("style", "")):
+        return True
+    if attributes.get("role", "").lower() in FURNITURE_ROLES:
         return True
-    for kind, *values in _ATTRIBUTE.findall(attributes):
-        value = next((v for v in values if v), "").lower()
-        if kind.lower() == "role":
-            if value in FURNITURE_ROLES:
-                return True
-        elif name not in ARTICLE_TAGS and name not in ("body", "html") and any(
-                w in FURNITURE_WORDS for w in _WORD.findall(value)):
-            return True
-    return False
+    return not in_article and name not in ARTICLE_TAGS and name not in ("body", "html") and any(
+        n in FURNITURE_WORDS for n in _names(attributes))
+
+
+def _named(name: str, attributes: dict[str, str]) -> list[str]:
+    """Class and id names of a tag that hold a listed word."""
+    if name in ARTICLE_TAGS or name in ("body", "html") or name in HEADINGS or name == "p":
+        return []
+    return [n for n in _names(attributes) if any(w in FURNITURE_WORDS for w in _WORD.findall(n))]
 
 
-def _role(name: str, attributes: str) -> str:
-    """A tag's name with its classes: what tells tags of different use apart."""
-    found = sorted(next((v for v in values if v), "").lower()
-                   for kind, *values in _ATTRIBUTE.findall(attributes) if kind.lower() == "class")
-    return ".".join([name, *found])
+def _role(name: str, attributes: dict[str, str], named: list[str]) -> str:
+    """A tag's name with its classes and listed names: what tells tags of different use apart."""
+    classes = attributes.get("class", "").lower()
+    return ".".join([name, *([classes] if classes else []), *(f"#{n}" for n in named if n not in classes.split())])
 
 
 def parse(page: str | None) -> tuple[list[Block], list[tuple]]:
     """A page's text blocks, and its tokens in page order: (path,) of tags, (path, text) of blocks."""
     blocks: list[Block] = []
     tokens: list[tuple] = []
-    stack: list[tuple[str, str, bool]] = []
+    stack: list[tuple[str, str, bool, bool]] = []
     parts: list[str] = []
     inline_furniture: list[str] = []
 
@@ -133,7 +160,9 @@ def parse(page: str | None) -> tuple[list[Block], list[tuple]]:
         text = " ".join(entities.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            blocks.append(Block(tuple(r for _, r, _ in stack), text, any(f for _, _, f in stack)))
+            path = tuple(s[1] for s in stack)
+            blocks.append(Block(path, text, any(s[2] for s in stack), tuple(
+                path[:d] for d, s in enumerate(stack, 1) if s[3])))
             tokens.append((blocks[-1].path, text))
 
     page = page or ""
@@ -164,24 +193,27 @@ def parse(page: str | None) -> tuple[list[Block], list[tuple]]:
                 elif not found[1] and inline_furniture[-1] == name:
                     inline_furniture.append(name)
             elif not found[1] and attributes and not attributes.rstrip().endswith("/") \
-                    and name == "span" and _furniture(name, attributes, False):
+                    and name == "span" and _furniture(
+                        name, _attributes(attributes), any(s[0] in ARTICLE_TAGS for s in stack)):
                 inline_furniture.append(name)
             continue
         inline_furniture.clear()
         close_block()
         if found[1]:
-            names = [n for n, _, _ in stack]
+            names = [s[0] for s in stack]
             if name in names:
                 del stack[len(names) - 1 - names[::-1].index(name):]
             continue
         closes = _CLOSES.get(name, set())
         if stack and (stack[-1][0] == "p" or stack[-1][0] in closes):
             stack.pop()
-        in_article = any(n in ARTICLE_TAGS for n, _, _ in stack)
-        role = _role(name, attributes)
-        tokens.append(((*(r for _, r, _ in stack), role),))
+        in_article = any(s[0] in ARTICLE_TAGS for s in stack)
+        known = _attributes(attributes)
+        named = _named(name, known)
+        role = _role(name, known, named)
+        tokens.append(((*(s[1] for s in stack), role),))
         if name not in VOID and not attributes.rstrip().endswith("/"):
-            stack.append((name, role, _furniture(name, attributes, in_article)))
+            stack.append((name, role, _furniture(name, known, in_article), bool(named)))
     close_block()
     return blocks, tokens
 
@@ -334,7 +366,10 @@ def _extract(parsed: list) -> list[str]:
     classes, places = _classes([parsed[k][1] for k in whole])
     container = _container(parsed, _template(classes, places))
     if len(whole) >= TEMPLATE_PAGES:
-        parsed = _without(parsed, _minor(parsed, container, _repeated(classes, places, container)))
+        regular = {t[0] for v, found in classes.items() if _regular(v) for t in found}
+        named = {p for blocks, _ in parsed for b in blocks for p in b.named if p in regular}
+        parts = named | _repeated(classes, places, container)
+        parsed = _without(parsed, _minor(parsed, container, parts))
     depth = len(container)
 
     def slots(blocks: list[Block]) -> list[Block]:

@@ -427,6 +427,20 @@ def test_odd_pages_do_not_spoil_the_template():
     assert got[5] == host_text(5) + "\n\nsecond part"
 
 
+def test_names_do_not_drop_article_text():
+    head = '<article class="overflow-hidden" data-state="hidden"><h1>head</h1><h2 id="related-work">Related</h2>'
+    page = head + ('<section id="search-methods" aria-hidden="false"><p>methods</p></section>'
+                   '<p hidden>gone</p><p style="color:red; display: none">gone</p></article>')
+    assert html.extract([page]) == ["head\n\nRelated\n\nmethods"]
+    assert html.extract(['<div id="search-methods"><h1>head</h1><p>text</p></div><div class="big menu">x</div>']) == [
+        "head\n\ntext"]
+    # With the evidence of the template, a listed word marks furniture inside the article too.
+    pages = [host_page(k, f"<div class=share-box>share {k}</div>") for k in range(12)]
+    assert html.extract(pages) == [host_text(k) for k in range(12)]
+    once = [host_page(k, "<div class=share-box>values a share</div>" if k == 4 else "") for k in range(12)]
+    assert html.extract(once)[4].endswith("values a share")
+
+
 def test_html_queries_awkward_rows(spark):
     rows = [(1, "http://a.org/x", "<p>a</p>"), (1, "http://a.org/x", "<p>a</p>"), (2, None, None),
             (None, "http://A.org/y", "<div><p>b</div>")]
