@@ -7,9 +7,10 @@ the margin is narrow (short texts, mixed texts) the words that a dictionary
 holds decide among the near-equal languages, and ``rejected`` is set.
 
 Learning: dictionaries are joined samples of labelled texts. At most
-``SAMPLE_DOCS`` texts per language (smallest text hashes) with at most
-``SAMPLE_CHARS`` characters each, cut to ``DICTIONARY_BYTES``, come to the
-driver and are broadcast: bounded by the number of languages. Every document is
+``SAMPLE_DOCS`` different texts per language (smallest text hashes) with at most
+``SAMPLE_CHARS`` characters each, from a hashed place of the text, cut to
+``DICTIONARY_BYTES``, come to the driver and are broadcast: bounded by the number
+of languages. Every document is
 predicted from its whole text, with no shuffle.
 
 Texts are lower-cased and everything that is no letter becomes one blank, so
@@ -54,11 +55,17 @@ def letters(text: str | None) -> bytes:
 
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, bytes]:
     """A dictionary per language from a bounded sample of its texts."""
-    rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(lang).alias("lang"), F.xxhash64(text).alias("order"),
-        F.substring(text, 1, SAMPLE_CHARS).alias("piece"))
-    first = Window.partitionBy("lang").orderBy("order", "piece")
-    sample = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= SAMPLE_DOCS)
+    whole = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
+        F.col(lang).alias("lang"), F.xxhash64(text).alias("order"), F.col(text).alias("whole"))
+    # The piece starts at a hashed place, from which SAMPLE_CHARS are left if the text has them.
+    room = F.greatest(F.length("whole") - SAMPLE_CHARS, F.lit(0)) + 1
+    start = (F.pmod(F.xxhash64("order"), room) + 1).cast("int")
+    # Equal texts are merged before the limit, by their hashes alone; then the chosen ones are fetched.
+    first = Window.partitionBy("lang").orderBy("order")
+    chosen = whole.select("lang", "order").distinct().withColumn(
+        "n", F.row_number().over(first)).where(F.col("n") <= SAMPLE_DOCS)
+    sample = whole.join(F.broadcast(chosen), ["lang", "order"]).groupBy("lang", "n").agg(
+        F.min(F.substring("whole", start, F.lit(SAMPLE_CHARS))).alias("piece"))
     joined: dict[str, list[bytes]] = {}
     for row in sample.orderBy("lang", "n").collect():
         joined.setdefault(row["lang"], []).append(letters(row["piece"]))

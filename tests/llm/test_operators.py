@@ -371,6 +371,16 @@ def test_language_of_held_out_texts(documents, spark):
     assert {r.lang_pred for r in langid.predict(df, {}).collect()} == {"und"}
 
 
+def test_language_sample_merges_copies_and_reaches_into_texts(spark):
+    """Copies take one place of the sample, and texts with one long header are told by their bodies."""
+    head = "menu " * 400
+    bodies = {k: " ".join(f"w{chr(97 + k)}{chr(97 + j % 26)}" for j in range(6000)) for k in range(20)}
+    rows = [(head + t, "xx") for t in bodies.values()] + [(t, "yy") for t in bodies.values() for _ in range(200)]
+    known = langid.learn(spark.createDataFrame(rows, "text string, lang string"))
+    assert all(f"w{chr(97 + k)}a".encode() in known["yy"] for k in bodies)
+    assert sum(f"w{chr(97 + k)}a".encode() in known["xx"] for k in bodies) >= 15
+
+
 def test_mix_reaches_target_weights(spark):
     rows = [(k, "x" * 10, "big" if k % 10 else "small") for k in range(4000)]
     rows += [(None, "y" * 10, None), (5000, None, "empty")]
