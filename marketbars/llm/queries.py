@@ -77,7 +77,7 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its lines, those taken out, and a digest of the text that is left."""
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", "text", F.size(F.split("text", "\n")).alias("n_lines"))
-    found = lines.dedup_lines(docs, every=lines.EVERY)
+    found = lines.dedup_lines(docs, every=lines.EVERY, exact_chars=lines.EXACT_CHARS)
     return found.select("doc_id", "n_lines", F.length("text").cast("long").alias("n_chars_kept"),
                         F.sha2("text", 256).alias("kept_sha256"))
 

@@ -293,6 +293,12 @@ def test_line_dedup_text(documents):
     assert {r.doc_id for r in lines.dedup_lines(documents(rows), drop_emptied=True).collect()} == {1, 2, 4}
 
 
+def test_equal_short_lines_go(documents):
+    rows = [(1, "short\n\nshort\nother"), (2, "short\nshorts\n\n"), (3, "other")]
+    got = {r.doc_id: r.text for r in lines.dedup_lines(documents(rows), exact_chars=1).collect()}
+    assert got == {1: "short\n\nother", 2: "shorts\n\n", 3: ""}
+
+
 # --------------------------------------------------------- rule statistics
 
 def brute_counts(text):
