@@ -27,6 +27,9 @@ from marketbars.llm import (
 from marketbars.llm.frames import fold
 from marketbars.shared import run_dir
 
+#: Session setting that names a shared folder for the ledger of repeated secret scans.
+SECRET_LEDGER = "marketbars.secretLedger"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -91,8 +94,12 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings per document; blobs in the ledger folder that ``SECRET_LEDGER`` names are not scanned again.
+
+    Without that setting the ledger is a new, empty folder, and each blob is scanned once.
+    """
     docs = table(spark, sf_dir, "documents")
-    folder = run_dir(spark, "secret-ledger")
+    folder = spark.conf.get(SECRET_LEDGER, None) or run_dir(spark, "secret-ledger")
     secrets.update_ledger(docs, folder)
     found = secrets.findings(docs, folder)
 

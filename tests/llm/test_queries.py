@@ -167,6 +167,22 @@ def test_secret_query_equals_plain_python(spark, tmp_path):
     assert len(got) == len(rows) and {tuple(r) for r in got} == want
 
 
+def test_secret_query_scans_only_blobs_that_its_ledger_lacks(spark, tmp_path):
+    query, name = contract.queries()["op10_secret_scan"], llm.SECRET_LEDGER
+    folder = tmp_path / "ledger"
+    one = fixture_dir(spark, tmp_path / "one", [(1, "password=abcdef"), (2, "words")])
+    two = fixture_dir(spark, tmp_path / "two", [(1, "password=abcdef"), (3, "token=ghijkl")])
+    spark.conf.set(name, str(folder))
+    try:
+        assert {r.doc_id: r.n_assign for r in query(spark, one).collect()} == {1: 1, 2: 0}
+        runs = set(folder.iterdir())
+        assert {r.doc_id: r.n_assign for r in query(spark, two).collect()} == {1: 1, 3: 1}
+    finally:
+        spark.conf.unset(name)
+    added = [str(p) for p in set(folder.iterdir()) - runs]
+    assert spark.read.parquet(*added).count() == 1
+
+
 def test_pipeline_equals_plain_python(spark, tmp_path):
     rows = some_texts(40)
     sf = fixture_dir(spark, tmp_path, rows)
