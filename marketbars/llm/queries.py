@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketbars.llm import (
+    codes,
     decontaminate,
     html,
     isolation,
@@ -113,6 +114,13 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         secrets.spans_text("findings").alias("spans"))
 
 
+def vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = codes.compress(table(spark, sf_dir, "embeddings"))
+    rows = codes.with_label_error(found.rows)
+    return rows.select("vec_id", "code", "error", "label_error",
+                       F.lit(found.digest()).alias("codebooks_sha256"))
+
+
 def _reaching_workers(query: Callable[[SparkSession, str], DataFrame]):
     """Python workers of a local session look for this package where the driver has it."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,6 +143,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_line_dedup": line_dedup,
         "op9_quality_classifier": quality_classifier,
         "op10_secret_scan": secret_scan,
+        "op11_vector_codes": vector_codes,
     }
     return {name: _reaching_workers(q) for name, q in found.items()}
 
@@ -244,10 +253,53 @@ FROM found f LEFT JOIN marked m USING (doc_id) LEFT JOIN listed l USING (doc_id)
 """
 
 
+def _vector_codes_sql() -> str:
+    """One assignment and one new codebook per round, and an assignment at the end."""
+    rounds = []
+    for k in range(codes.ROUNDS + 1):
+        rounds.append(f"""a{k} AS MATERIALIZED (
+    SELECT vec_id, part, min(d) AS d, arg_min(entry, d * {codes.ENTRIES} + entry) AS entry FROM (
+        SELECT p.vec_id, p.part, b.entry, CAST(list_sum(list_transform(range(1, len(p.v) + 1),
+            lambda i: (p.v[i] - b.e[i]) * (p.v[i] - b.e[i]))) AS BIGINT) AS d
+        FROM parts p JOIN b{k} b ON p.part = b.part) GROUP BY vec_id, part
+)""")
+        rounds.append(f"""b{k + 1} AS MATERIALIZED (
+    SELECT b.part, b.entry, coalesce(m.e, b.e) AS e FROM b{k} b LEFT JOIN (
+        SELECT part, entry, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS e FROM (
+            SELECT part, entry, i, sum(x) AS s, count(*) AS n FROM (
+                SELECT a.part, a.entry, unnest(p.v) AS x, unnest(range(len(p.v))) AS i
+                FROM a{k} a JOIN parts p USING (vec_id, part)) GROUP BY part, entry, i)
+        GROUP BY part, entry) m ON m.part = b.part AND m.entry = b.entry
+)""")
+    last = codes.ROUNDS
+    return f"""
+WITH kept AS MATERIALIZED (
+    SELECT vec_id, label, list_transform(embedding,
+        lambda x: CAST(floor({codes.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings WHERE embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+    SELECT vec_id, part, v[part * (len(v) // {codes.PARTS}) + 1:(part + 1) * (len(v) // {codes.PARTS})] AS v
+    FROM kept, range({codes.PARTS}) t(part)
+), b0 AS MATERIALIZED (
+    SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, v AS e FROM parts
+    QUALIFY entry < {codes.ENTRIES}
+), {", ".join(rounds[:-1])}, coded AS (
+    SELECT vec_id, string_agg(format('{{:02x}}', entry), '' ORDER BY part) AS code,
+        CAST(sum(d) AS BIGINT) AS error FROM a{last} GROUP BY vec_id
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+    (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY part, entry)) FROM b{last})
+        AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_source_mix": SOURCE_MIX,
         "op4_ngram_join": NGRAM_JOIN,
         "op5_substring_dedup": SUBSTRING_DEDUP,
         "op6_decontamination": DECONTAMINATION,
+        "op11_vector_codes": _vector_codes_sql(),
     }
