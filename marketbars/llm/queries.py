@@ -19,6 +19,7 @@ from marketbars.llm import (
     isolation,
     jaccard,
     langid,
+    licenses,
     lines,
     mixing,
     rules,
@@ -121,6 +122,10 @@ def vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.lit(found.digest()).alias("codebooks_sha256"))
 
 
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.summary(licenses.scan(table(spark, sf_dir, "documents")))
+
+
 def _reaching_workers(query: Callable[[SparkSession, str], DataFrame]):
     """Python workers of a local session look for this package where the driver has it."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,6 +149,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_quality_classifier": quality_classifier,
         "op10_secret_scan": secret_scan,
         "op11_vector_codes": vector_codes,
+        "op12_license_scan": license_scan,
     }
     return {name: _reaching_workers(q) for name, q in found.items()}
 
@@ -295,6 +301,51 @@ FROM coded JOIN kept USING (vec_id)
 """
 
 
+def _license_scan_sql() -> str:
+    """The same rules, with places counted from the blanks between matches and suppression as a self-join."""
+    rules = ", ".join(
+        f"({r.number}, '{r.label}', {r.tier}, '{r.keyword}', '{licenses.spaced_pattern(r.pattern)}', {r.base})"
+        for r in licenses.RULES)
+    weights = " ".join(f"WHEN {t} THEN {w}" for t, w in licenses.WEIGHTS.items())
+
+    def words(pieces: str) -> str:
+        joined = f"array_to_string({pieces}, '')"
+        return f"((length({joined}) - length(replace({joined}, ' ', ''))) // 2)"
+
+    return f"""
+WITH rules(number, label, tier, keyword, pattern, base) AS (VALUES {rules}
+), found AS MATERIALIZED (
+    SELECT doc_id, trim(regexp_replace({_LOWER.format("text")}, '{licenses.SEPARATORS}', ' ', 'g'), ' ') AS w
+    FROM documents
+), hits AS MATERIALIZED (
+    SELECT * FROM (SELECT doc_id, number, label, tier, base,
+            string_split_regex(' ' || replace(w, ' ', '  ') || ' ', pattern) AS gaps,
+            regexp_extract_all(' ' || replace(w, ' ', '  ') || ' ', pattern) AS hit
+        FROM found JOIN rules ON contains(w, keyword)) WHERE len(hit) > 0
+), spans AS MATERIALIZED (
+    SELECT doc_id, number, label, tier, base, first, first + {words("[hit[i]]")} AS last FROM (
+        SELECT *, {words("gaps[1:i]")} + {words("hit[1:i - 1]")} AS first FROM (
+            SELECT *, unnest(range(1, len(hit) + 1)) AS i FROM hits))
+), judged AS (
+    SELECT *, NOT EXISTS (SELECT 1 FROM spans e WHERE e.doc_id = d.doc_id
+        AND e.first <= d.first AND e.last >= d.last AND (e.tier > d.tier OR e.tier = d.tier AND (
+            e.last - e.first > d.last - d.first OR e.last - e.first = d.last - d.first AND e.number < d.number))
+        ) AS stays FROM spans d
+), sums AS (
+    SELECT doc_id, count(*) FILTER (base) AS n_base, CAST(min(first) FILTER (base) AS BIGINT) AS first_word,
+        CAST(max(first) FILTER (base) AS BIGINT) AS last_word,
+        array_to_string(list_sort(list(DISTINCT label) FILTER (base)), ',') AS base_labels,
+        array_to_string(list_sort(list(DISTINCT label) FILTER (base OR stays)), ',') AS labels,
+        max(CASE tier {weights} END) FILTER (base OR stays) AS score
+    FROM judged GROUP BY doc_id
+)
+SELECT doc_id, CASE WHEN w = '' THEN 0 ELSE length(w) - length(replace(w, ' ', '')) + 1 END AS n_words,
+    coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+    coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM found LEFT JOIN sums USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_source_mix": SOURCE_MIX,
@@ -302,4 +353,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_substring_dedup": SUBSTRING_DEDUP,
         "op6_decontamination": DECONTAMINATION,
         "op11_vector_codes": _vector_codes_sql(),
+        "op12_license_scan": _license_scan_sql(),
     }
