@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketbars.llm.frames import fresh
+from marketbars.llm.frames import broadcast_if_small, fresh
 from marketbars.shared import stored
 
 PARTS = 4
@@ -337,7 +337,5 @@ def with_label_error(coded: DataFrame) -> DataFrame:
     """
     taken = fresh(coded, "of_label")
     totals = coded.groupBy(F.col("label").alias(taken)).agg(F.sum("error").alias("label_error"))
-    totals = stored(totals, "label-errors")
-    if totals.count() <= SMALL:
-        totals = F.broadcast(totals)
+    totals = broadcast_if_small(stored(totals, "label-errors"), SMALL)
     return coded.join(totals, F.col("label").eqNullSafe(F.col(taken)), "left").drop(taken)

@@ -44,3 +44,8 @@ def small_batches(df: DataFrame) -> DataFrame:
     if not 0 < int(conf.get(name)) <= BATCH_ROWS:
         conf.set(name, str(BATCH_ROWS))
     return df
+
+
+def broadcast_if_small(df: DataFrame, limit: int) -> DataFrame:
+    """``df``, a stored table, marked for broadcast if it has at most ``limit`` rows."""
+    return F.broadcast(df) if df.count() <= limit else df

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from marketbars.llm import (
     codes,
+    collocations,
     decontaminate,
     html,
     isolation,
@@ -126,6 +127,10 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.summary(licenses.scan(table(spark, sf_dir, "documents")))
 
 
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def _reaching_workers(query: Callable[[SparkSession, str], DataFrame]):
     """Python workers of a local session look for this package where the driver has it."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,6 +155,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_secret_scan": secret_scan,
         "op11_vector_codes": vector_codes,
         "op12_license_scan": license_scan,
+        "op13_phrase_collocations": phrase_collocations,
     }
     return {name: _reaching_workers(q) for name, q in found.items()}
 
@@ -300,6 +306,44 @@ SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT)
 FROM coded JOIN kept USING (vec_id)
 """
 
+PHRASE_COLLOCATIONS = f"""
+WITH pieces AS (
+    SELECT coalesce(lang, '{collocations.UNKNOWN}') AS lang,
+        unnest(regexp_split_to_array({_LOWER.format("text")}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+), found AS (
+    SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces
+), grams AS MATERIALIZED (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM (
+        SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+        FROM found, range(1, {collocations.LONGEST + 1}) t(k) WHERE len(w) >= k) GROUP BY ALL
+), totals AS (
+    SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE k = 1 GROUP BY lang
+), often AS MATERIALIZED (
+    SELECT * FROM grams WHERE f >= {collocations.THRESHOLD}
+), cuts AS (
+    SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS cut
+    FROM often WHERE k >= 2
+), scores AS (
+    SELECT c.lang, c.phrase, c.a, c.cut, x.f AS l, y.f AS r, n,
+        CAST(CAST(1000 AS HUGEINT) * c.a * n // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+    FROM cuts c JOIN often x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:cut], ' ')
+    JOIN often y ON y.lang = c.lang AND y.phrase = array_to_string(w[cut + 1:], ' ')
+    JOIN totals t ON t.lang = c.lang
+), best AS (
+    SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), inside AS (
+    SELECT lang, array_to_string(w[i:i + size - 1], ' ') AS phrase, max(a) AS longer FROM (
+        SELECT lang, w, a, size, unnest(range(1, k - size + 2)) AS i FROM (
+            SELECT lang, k, w, a, unnest(range(2, k)) AS size FROM cuts WHERE cut = 1))
+    GROUP BY ALL
+), kept AS (
+    SELECT b.* FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase
+    WHERE longer IS NULL OR 100 * longer < 100 * a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+    phrase, a, l, r, n, score FROM kept QUALIFY rank <= {collocations.TOP}
+"""
+
 
 def _license_scan_sql() -> str:
     """The same rules, with places counted from the blanks between matches and suppression as a self-join."""
@@ -354,4 +398,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_decontamination": DECONTAMINATION,
         "op11_vector_codes": _vector_codes_sql(),
         "op12_license_scan": _license_scan_sql(),
+        "op13_phrase_collocations": PHRASE_COLLOCATIONS,
     }

@@ -1,0 +1,113 @@
+"""Phrase collocations against plain Python, and their defined cases."""
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from marketbars.llm import collocations
+
+from .conftest import AWKWARD
+from .test_operators import lowered
+
+END = re.compile(r"[.,;:!?\x0A-\x0D]")
+WORD = re.compile(r"[^\x20\x09]+")
+
+
+def plain(rows, threshold, longest, top):
+    """rows: (lang, text). The result of full counts of all phrases."""
+    counts = {}
+    for lang, text in rows:
+        mine = counts.setdefault("und" if lang is None else lang, Counter())
+        for piece in END.split(lowered(text)):
+            w = WORD.findall(piece)
+            for k in range(1, longest + 1):
+                mine.update(tuple(w[i:i + k]) for i in range(len(w) - k + 1))
+    out = []
+    for lang, f in counts.items():
+        n = sum(v for p, v in f.items() if len(p) == 1)
+        often = {p: a for p, a in f.items() if len(p) > 1 and a >= threshold}
+        inside = {}
+        for p, a in often.items():
+            for size in range(2, len(p)):
+                for i in range(len(p) - size + 1):
+                    inside[p[i:i + size]] = max(inside.get(p[i:i + size], 0), a)
+        found = []
+        for p, a in often.items():
+            score, _, le, r = min((1000 * a * n // (f[p[:k]] * f[p[k:]]), k, f[p[:k]], f[p[k:]])
+                                  for k in range(1, len(p)))
+            if not 100 * inside.get(p, 0) >= 100 * a:
+                found.append((-score, -a, " ".join(p).encode(), le, r))
+        for rank, (score, a, p, le, r) in enumerate(sorted(found)[:top], 1):
+            out.append((lang, rank, p.decode(), -a, le, r, n, -score))
+    return sorted(out)
+
+
+def some_rows(seed, count):
+    """Few words, so that long phrases repeat; some only in a few texts, some in most."""
+    rng = random.Random(seed)
+    vocabulary = ["aa", "Bb", "cc", "é", "Éz", "d-d", "e'", "f", "\x01g", "hh", "ßa"]
+    fixed = [" ".join(rng.choices(vocabulary, k=rng.randrange(3, 8))) for _ in range(6)]
+    out = []
+    for k in range(count):
+        parts = [rng.choice(fixed) if rng.random() < 0.5 else rng.choice(vocabulary) for _ in range(rng.randrange(30))]
+        text = "".join(p + rng.choice([" ", " ", " ", "\t", "  ", ". ", ",", "\n", "\r\n", "; "]) for p in parts)
+        out.append((rng.choice(["en", "en", "en", "de", None]), text))
+    return out
+
+
+@pytest.mark.parametrize(("seed", "shards", "slot_count", "run_bytes"), [
+    (1, 4, 1 << 12, 1 << 20), (2, 3, 64, 200), (3, 1, 1 << 12, 1), (4, 7, 128, 1 << 20)])
+def test_collocations_equal_plain_counts(spark, seed, shards, slot_count, run_bytes):
+    """Also where tables of 64 and 128 slots are full, and activate phrases early or in vain."""
+    rows = some_rows(seed, 90)
+    frame = spark.createDataFrame([(x, t, 1) for x, t in rows], "lang string, text string, n int").repartition(3)
+    found = collocations.collocations(frame, threshold=9, longest=4, top=25, shards=shards,
+                                      slot_count=slot_count, run_bytes=run_bytes)
+    assert sorted(map(tuple, found.collect())) == plain(rows, 9, 4, 25)
+
+
+def test_phrases_reach_the_threshold_in_the_last_shard(spark):
+    """A threshold equal to the count is reached at the last scan of each length's cycle."""
+    rows = [("en", f"one two three four five six {k}") for k in range(12)] + [("en", "one two")] * 5
+    frame = spark.createDataFrame(rows, "lang string, text string")
+    found = collocations.collocations(frame, threshold=12, top=50, slot_count=256)
+    want = plain(rows, 12, 5, 50)
+    assert sorted(map(tuple, found.collect())) == want
+    assert {r[2] for r in want} == {"one two", "one two three four five", "two three four five six"}
+
+
+def test_products_beyond_64_bits(spark):
+    big = 1 << 40
+    frequent = spark.createDataFrame(
+        [("en", 1, "a", 3 * big), ("en", 1, "b", 5 * big), ("en", 2, "a b", big), ("en", 3, "a b a", big - 1),
+         ("en", 2, "b a", big - 1)], "lang string, n int, phrase string, f long")
+    totals = spark.createDataFrame([("en", 1 << 62)], "lang string, words long")
+    got = {r.phrase: r for r in collocations.scored(frequent, totals).collect()}
+    assert got["a b"].score == 1000 * big * (1 << 62) // (15 * big * big)
+    assert (got["a b a"].l, got["a b a"].r) == (3 * big, big - 1)
+
+
+def test_table_slots_keep_the_first_step(spark):
+    tables = {n: np.full(64, 255, np.uint8) for n in (1, 2)}
+    h = 5 << 58 | 9
+    first = spark.createDataFrame([(1, h), (2, -1)], "n int, h long")
+    collocations._mark(tables, first, 3)
+    collocations._mark(tables, spark.createDataFrame([(1, 5 << 58 | 11)], "n int, h long"), 4)
+    assert {k: int(v) for k, v in enumerate(tables[1]) if v != 255} == {5: 3, 9: 3, 11: 4}
+    assert {k: int(v) for k, v in enumerate(tables[2]) if v != 255} == {63: 3}
+    one, two = collocations.slots(np.array([h], np.uint64), 64)
+    assert (one[0], two[0]) == (5, 9)
+
+
+def test_defined_cases(spark, documents):
+    frame = documents([*AWKWARD, (10, "a b " * 2500), (11, None)])
+    got = sorted(map(tuple, collocations.collocations(frame, threshold=2, slot_count=256).collect()))
+    rows = [("en", t) for _, t in [*AWKWARD, (10, "a b " * 2500)]]
+    assert got == plain(rows, 2, 5, 2000)
+    assert collocations.collocations(frame.limit(0), slot_count=256).collect() == []
+    assert collocations.collocations(documents([(1, None), (2, "")]), threshold=1, slot_count=256).collect() == []
+    with pytest.raises(ValueError):
+        collocations.collocations(frame, shards=60)

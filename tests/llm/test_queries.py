@@ -19,7 +19,7 @@ SF = "/root/testdata/sf0.01"
 
 def test_every_operator_is_registered_once():
     names = [n for n in contract.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 13))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in contract.queries()
 
 
