@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marketbars.sinks import files
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
@@ -40,3 +44,14 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     path = run_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(df: DataFrame, name: str = "table") -> Iterator[DataFrame]:
+    """``df`` as ``stored`` gives it, for the length of a ``with`` block; then its files go."""
+    path = run_dir(df.sparkSession, name)
+    try:
+        df.write.parquet(path)
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        files.remove(df.sparkSession, path)

@@ -1,17 +1,21 @@
 """Catalog tables on plain parquet files.
 
-A published table is replaced by writing a new folder and then pointing the
-table at it. Readers see the old rows or the new ones, never an empty or
-half-written table; no folder that a plan may be reading is ever overwritten,
-and a lost executor only repeats its tasks. Where the new rows have other
-columns the table is dropped and created again: for that moment readers find no
-table, and a failure in between is mended by publishing again.
+A published name is a view over one version: a typed table of its own over a run
+folder that is written once. Replacing the rows, with the same columns or others,
+writes a new folder, declares a new version over it and then replaces the view, in
+one step. Readers see the old rows or the new ones, never none; no folder that a
+plan may be reading is ever overwritten, and a lost executor only repeats its tasks.
+A version can hold partitions of earlier run folders (see ``monthly``).
+
+``retain`` removes versions that no reader needs any more, and the folders that no
+version left names.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -21,7 +25,10 @@ from pyspark.sql import types as T
 from marketbars.operators.staging import view_queries
 from marketbars.schema import BARS, conform
 from marketbars.settings import Settings, quoted
+from marketbars.sinks import files
 
+VERSION = "marketbars.version"
+PARTITIONS = "marketbars.partitions"
 LAYERS = ("raw", "adhoc", "analytics", "staging", "snapshots")
 
 
@@ -36,7 +43,7 @@ def ensure_tables(spark: SparkSession, cfg: Settings) -> None:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted(cfg.catalog, cfg.schema(layer))} LOCATION '{path}'")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {cfg.stage} ({ddl(BARS)}) USING parquet")
     if not spark.catalog.tableExists(cfg.raw):
-        _point(spark, cfg.raw, BARS, f"{cfg.location('raw', 'market_data')}/{new_run()}")
+        switch(spark, cfg.raw, BARS, cfg.location("raw", "market_data"), new_run())
 
 
 def ddl(schema: T.StructType) -> str:
@@ -45,8 +52,8 @@ def ddl(schema: T.StructType) -> str:
 
 def new_run() -> str:
     """A folder name no earlier run has used; names sort by time."""
-    now = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
-    return f"run-{now}-{uuid.uuid4().hex[:8]}"
+    now = datetime.now(timezone.utc).strftime("%Y%m%dt%H%M%S%f")
+    return f"run_{now}_{uuid.uuid4().hex[:8]}"
 
 
 def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -96,25 +103,92 @@ def publish(
     ``range_by`` the files are ranges of those columns, split evenly by sampled
     size, so reads by symbol or date skip most of them.
     """
-    path = f"{location}/{new_run()}"
+    run = new_run()
     if range_by:
         df = df.repartitionByRange(*range_by).sortWithinPartitions(*range_by)
     rows, seen = counted(df)
-    rows.write.mode("errorifexists").parquet(path)
+    rows.write.mode("errorifexists").parquet(f"{location}/{run}")
     n = require_rows(seen, table, allow_empty)
-    _point(df.sparkSession, table, df.schema, path)
+    switch(df.sparkSession, table, df.schema, location, run)
     return n
 
 
-def _point(spark: SparkSession, table: str, schema: T.StructType, path: str) -> None:
-    """Make ``table`` read ``path``, creating it or changing its columns as needed."""
-    if spark.catalog.tableExists(table):
-        if ddl(spark.table(table).schema) == ddl(schema):
-            spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-            spark.catalog.refreshTable(table)
-            return
-        spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"CREATE TABLE {table} ({ddl(schema)}) USING parquet LOCATION '{path}'")
+def version_table(table: str, run: str) -> str:
+    """Quoted name of the version of ``table`` that ``run`` made."""
+    return f"{table[:-1]}__{run}`"
+
+
+def switch(spark: SparkSession, table: str, schema: T.StructType, location: str, run: str,
+           partition: T.StructField | None = None, parts: Mapping[str, str] | None = None) -> None:
+    """Make ``table`` read the folder of ``run``, in one step for its readers.
+
+    With ``partition`` the version's partitions are ``parts``: the value of each, and
+    the run whose folder holds it.
+    """
+    version = version_table(table, run)
+    columns = ddl(schema)
+    held = json.dumps(dict(parts or {}))
+    if partition is None:
+        spark.sql(f"CREATE TABLE {version} ({columns}) USING parquet LOCATION '{location}/{run}'")
+    else:
+        name = quoted(partition.name)
+        columns += f", {name} {partition.dataType.simpleString()}"
+        spark.sql(f"CREATE TABLE {version} ({columns}) USING parquet PARTITIONED BY ({name}) "
+                  f"LOCATION '{location}/{run}' TBLPROPERTIES ('{PARTITIONS}' = '{held}')")
+        listed = " ".join(f"PARTITION ({name} = {value}) LOCATION '{location}/{of}/{partition.name}={value}'"
+                          for value, of in (parts or {}).items())
+        if listed:
+            spark.sql(f"ALTER TABLE {version} ADD {listed}")
+    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {table}")  # once, of a table that was published before there were versions
+    names = ", ".join(quoted(f.name) for f in schema)
+    spark.sql(f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ('{VERSION}' = '{run}', '{PARTITIONS}' = '{held}') "
+              f"AS SELECT {names} FROM {version}")
+
+
+def current_version(spark: SparkSession, table: str) -> tuple[str, dict[str, str]] | None:
+    """The run that made the rows ``table`` shows, and the run of each of its partitions."""
+    if not spark.catalog.tableExists(table):
+        return None
+    found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    if VERSION not in found:
+        return None
+    return found[VERSION], json.loads(found[PARTITIONS])
+
+
+def retain(spark: SparkSession, table: str, location: str, keep: int = 1) -> list[str]:
+    """Remove all but the current version and the ``keep`` ones before it; the run folders that went.
+
+    Plans that still read an older version fail, so keep as many as runs may overlap
+    with their readers. Versions and folders newer than the current version are left
+    alone: a run may be writing them.
+    """
+    current = current_version(spark, table)
+    if current is None:
+        return []
+    schema, _, name = table.rpartition(".")
+    prefix = f"{name.strip('`')}__"
+    pattern = prefix.replace("_", "?")
+    found = [r["tableName"] for r in spark.sql(f"SHOW TABLES IN {schema} LIKE '{pattern}run?*'").collect()]
+    runs = sorted(n.removeprefix(prefix) for n in found if n.startswith(prefix))
+    older = [r for r in runs if r < current[0]]
+    gone = older[:max(len(older) - keep, 0)]
+    for run in gone:
+        spark.sql(f"DROP TABLE IF EXISTS {version_table(table, run)}")
+    named = set(runs) - set(gone)
+    for run in list(named):
+        named |= _folders_of(spark, version_table(table, run))
+    out = [f for f in files.folders(spark, location) if f.startswith("run_") and f < current[0] and f not in named]
+    for folder in out:
+        files.remove(spark, f"{location}/{folder}")
+    return out
+
+
+def _folders_of(spark: SparkSession, version: str) -> set[str]:
+    """The run folders that hold a version's partitions."""
+    held = spark.sql(f"SHOW TBLPROPERTIES {version}").collect()
+    found = {r["key"]: r["value"] for r in held}
+    return set(json.loads(found.get(PARTITIONS, "{}")).values())
 
 
 def create_view(spark: SparkSession, view: str, query: str) -> DataFrame:
