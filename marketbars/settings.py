@@ -23,7 +23,11 @@ class Settings:
     and so on); the environment variable ``MARKETBARS_DATABASE`` overrides it.
     ``base_path`` is the shared folder that holds the table files. ``as_of``
     ends the look-back; without it each symbol's own last date does. Without
-    ``train_days`` there is no look-back.
+    ``train_days`` there is no look-back. ``refresh`` says whether a delivery
+    replaces the raw table (``full``) or only the rows of its keys (``touched``);
+    then the trend is refitted from statistics of blocks of ``block_days``.
+    ``buckets`` deal the stored snapshot: about its bytes over 256 MB, and fixed
+    when it is first written.
     """
 
     base_path: str
@@ -38,6 +42,9 @@ class Settings:
     calendar: str = "daily"
     min_obs: int | None = None
     strict_forecast: bool = False
+    refresh: str = "full"
+    buckets: int = 8
+    block_days: int = 30
 
     def schema(self, layer: str) -> str:
         return f"{self.database}_{layer}"
@@ -86,6 +93,10 @@ class Settings:
     def model(self) -> str:
         return self.table("analytics", "price_model")
 
+    @property
+    def blocks(self) -> str:
+        return self.table("analytics", "price_blocks")
+
     @property
     def final(self) -> str:
         return self.table("analytics", "market_data")
@@ -98,6 +109,10 @@ class Settings:
     def snapshot(self) -> str:
         return self.table("snapshots", "market_data_snapshot")
 
+    @property
+    def snapshot_files(self) -> str:
+        return self.table("snapshots", "market_data_snapshot_files")
+
 
 def quoted(*parts: str) -> str:
     """Backticked multi-part name."""
