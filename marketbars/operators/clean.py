@@ -56,19 +56,17 @@ def normalize(incoming: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 def clean_counts(incoming: DataFrame) -> DataFrame:
-    """Rows per symbol before cleaning, and after it (one per dated key).
+    """Rows per symbol before cleaning, and after it (one per dated key)."""
+    return counts_of(incoming.select(tidy_symbol(F.col("symbol")).alias("symbol"), _day(incoming)))
+
+
+def counts_of(typed: DataFrame) -> DataFrame:
+    """``clean_counts`` of typed bars.
 
     Counts per (symbol, date) first: the shuffle carries one row per key and
     task, and no task holds a whole symbol.
     """
-    per_key = (
-        incoming.select(
-            tidy_symbol(F.col("symbol")).alias("symbol"),
-            _day(incoming),
-        )
-        .groupBy("symbol", "date")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    per_key = typed.groupBy("symbol", "date").agg(F.count(F.lit(1)).alias("n"))
     return per_key.groupBy("symbol").agg(
         F.sum("n").alias("rows_before"), F.count("date").alias("rows_after")
     )

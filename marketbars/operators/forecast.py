@@ -38,18 +38,18 @@ REPEATED = "duplicate_ts"
 class Method:
     """How one method aggregates a series and reads its parameters back.
 
-    ``aggregates`` are per-series aggregates over ``y`` (null outside the
-    training part), its index ``x``, the previous value ``y_prev`` and the value
-    one season back ``y_season``. ``parameters`` are derived from them.
-    ``point`` and ``spread`` give the forecast and its standard error at
-    ``step``.
+    ``aggregates`` are named per-series aggregates of the observations ``y``
+    (null outside the training part), of which there are ``n``, by their index
+    ``x``, the previous value ``y_prev`` and the value one season back
+    ``y_season``. ``parameters`` are derived from them. ``point`` and ``spread``
+    give the forecast and its standard error at a step.
     """
 
     min_obs: int
-    aggregates: Callable[[int], Sequence[Column]]
+    aggregates: Callable[[Column, Column], dict[str, Column]]
     parameters: Sequence[tuple[str, Column]]
-    point: Column
-    spread: Column
+    point: Callable[[Column], Column]
+    spread: Callable[[Column], Column]
 
 
 def _root(value: Column) -> Column:
@@ -57,64 +57,66 @@ def _root(value: Column) -> Column:
 
 
 def _trend() -> Method:
-    n, step = F.col("n_obs"), F.col("step")
-    ahead = n + step
+    n = F.col("n_obs")
+
+    def spread(step: Column) -> Column:
+        off = n + step - F.col("x_mean")
+        return F.col("sigma") * F.sqrt(1 + 1 / n + off * off / F.col("sxx"))
+
     return Method(
         min_obs=3,
-        aggregates=lambda season: [
-            F.regr_slope("y", "x").alias("slope"),
-            F.regr_intercept("y", "x").alias("intercept"),
-            F.regr_avgx("y", "x").alias("x_mean"),
-            F.regr_sxx("y", "x").alias("sxx"),
-            F.regr_sxy("y", "x").alias("sxy"),
-            F.regr_syy("y", "x").alias("syy"),
-        ],
+        aggregates=lambda y, _: {
+            "slope": F.regr_slope(y, F.col("x")),
+            "intercept": F.regr_intercept(y, F.col("x")),
+            "x_mean": F.regr_avgx(y, F.col("x")),
+            "sxx": F.regr_sxx(y, F.col("x")),
+            "sxy": F.regr_sxy(y, F.col("x")),
+            "syy": F.regr_syy(y, F.col("x")),
+        },
         parameters=[
             ("sigma", _root((F.col("syy") - F.col("slope") * F.col("sxy")) / F.nullif(n - 2, F.lit(0)))),
         ],
-        point=F.col("intercept") + F.col("slope") * ahead,
-        spread=F.col("sigma")
-        * F.sqrt(1 + 1 / n + (ahead - F.col("x_mean")) * (ahead - F.col("x_mean")) / F.col("sxx")),
+        point=lambda step: F.col("intercept") + F.col("slope") * (n + step),
+        spread=spread,
     )
 
 
 def _drift() -> Method:
-    n, step = F.col("n_obs"), F.col("step")
-    change = F.col("y") - F.col("y_prev")
+    n = F.col("n_obs")
     return Method(
         min_obs=3,
-        aggregates=lambda season: [
-            F.min_by("y", F.when(F.col("y").isNotNull(), F.col("x"))).alias("first"),
-            F.max_by("y", F.when(F.col("y").isNotNull(), F.col("x"))).alias("last"),
+        aggregates=lambda y, _: {
+            "first": F.min_by(y, F.when(y.isNotNull(), F.col("x"))),
+            "last": F.max_by(y, F.when(y.isNotNull(), F.col("x"))),
             # The mean change is the drift, so its sample deviation is the residual's.
-            F.stddev_samp(change).alias("sigma"),
-        ],
+            "sigma": F.stddev_samp(y - F.col("y_prev")),
+        },
         parameters=[
             ("drift", (F.col("last") - F.col("first")) / F.nullif(n - 1, F.lit(0))),
         ],
-        point=F.col("last") + step * F.col("drift"),
-        spread=F.col("sigma") * F.sqrt(step * (1 + step / (n - 1))),
+        point=lambda step: F.col("last") + step * F.col("drift"),
+        spread=lambda step: F.col("sigma") * F.sqrt(step * (1 + step / (n - 1))),
     )
 
 
 def _seasonal() -> Method:
-    step, season = F.col("step"), F.size("last_season")
-    change = F.col("y") - F.col("y_season")
-    recent = F.when(F.col("y").isNotNull() & (F.col("x") > F.col("n_train") - F.col("season")),
-                    F.struct("x", "y"))
+    season = F.size("last_season")
+
+    def aggregates(y: Column, n: Column) -> dict[str, Column]:
+        change = y - F.col("y_season")
+        recent = F.when(y.isNotNull() & (F.col("x") > n - F.col("season")), F.struct("x", y.alias("y")))
+        # collect_list skips nulls, so this holds one season per series.
+        return {"recent": F.collect_list(recent), "mean_square": F.avg(change * change)}
+
     return Method(
         min_obs=2,
-        aggregates=lambda m: [
-            # collect_list skips nulls, so this holds one season per series.
-            F.collect_list(recent).alias("recent"),
-            F.avg(change * change).alias("mean_square"),
-        ],
+        aggregates=aggregates,
         parameters=[
             ("last_season", F.transform(F.array_sort("recent"), lambda r: r["y"])),
             ("sigma", _root(F.col("mean_square"))),
         ],
-        point=F.get("last_season", ((step - 1) % season).cast("int")),
-        spread=F.col("sigma") * F.sqrt(F.floor((step - 1) / season) + 1),
+        point=lambda step: F.get("last_season", ((step - 1) % season).cast("int")),
+        spread=lambda step: F.col("sigma") * F.sqrt(F.floor((step - 1) / season) + 1),
     )
 
 
@@ -168,21 +170,25 @@ def _holt_search(weights: Sequence[float]):
 
 def _holt(weights: Sequence[float] = HOLT_WEIGHTS) -> Method:
     """Level starts at the second value, trend at the first change."""
-    step, n = F.col("step"), F.col("n_obs")
-    a, b, h = F.col("best.alpha"), F.col("best.alpha") * F.col("best.beta_star"), step
-    growth = 1 + (h - 1) * (a * a + a * b * h + b * b * h * (2 * h - 1) / 6)
+    n = F.col("n_obs")
+    a, b = F.col("best.alpha"), F.col("best.alpha") * F.col("best.beta_star")
+
+    def spread(h: Column) -> Column:
+        growth = 1 + (h - 1) * (a * a + a * b * h + b * b * h * (2 * h - 1) / 6)
+        return F.col("sigma") * F.sqrt(growth)
+
     return Method(
         min_obs=4,
-        aggregates=lambda season: [
-            F.collect_list(F.when(F.col("y").isNotNull(), F.struct("x", "y"))).alias("points"),
-        ],
+        aggregates=lambda y, _: {
+            "points": F.collect_list(F.when(y.isNotNull(), F.struct("x", y.alias("y")))),
+        },
         parameters=[
             ("values", F.transform(F.array_sort("points"), lambda p: p["y"])),
             ("best", _holt_search(weights)("values")),
             ("sigma", _root(F.col("best.sse") / F.nullif(n - 2, F.lit(0)))),
         ],
-        point=F.col("best.level") + step * F.col("best.trend"),
-        spread=F.col("sigma") * F.sqrt(growth),
+        point=lambda step: F.col("best.level") + step * F.col("best.trend"),
+        spread=spread,
     )
 
 
@@ -197,16 +203,16 @@ _BUILDERS: dict[str, Callable[[], Method]] = {
 _SCRATCH = ("recent", "points", "values", "mean_square", "n_rows", "n_dates", "one_date")
 
 
-def _method(name: str) -> Method:
+def method_of(name: str) -> Method:
     if name not in _BUILDERS:
         raise ValueError(f"unknown method {name!r}; use one of {sorted(_BUILDERS)}")
     return _BUILDERS[name]()
 
 
 def observations(
-    df: DataFrame, series: str, ts: str, target: str, season: int, holdout: int, keyed: bool
+    df: DataFrame, series: str, ts: str, target: str, season: int, keyed: bool
 ) -> DataFrame:
-    """Indexed observations, training and held-out parts in separate columns.
+    """Indexed observations, with the number a series has of them.
 
     Null and NaN targets are no observations, but keep their series visible, so
     that a series without any is reported. Both windows and the later aggregate
@@ -225,61 +231,77 @@ def observations(
         )
     each = W.partitionBy("series")
     in_order = each.orderBy(F.col("value").isNull(), "ts")
-    indexed = one_per_day.select(
+    return one_per_day.select(
         "*",
         F.row_number().over(in_order).cast("double").alias("x"),
         F.lag("value", 1).over(in_order).alias("y_prev"),
         F.lag("value", season).over(in_order).alias("y_season"),
-        (F.count("value").over(each) - holdout).alias("n_train"),
-    )
-    train = F.col("x") <= F.col("n_train")
-    return indexed.select(
-        "series", "ts", "n_rows", "value", "x", "n_train", "y_prev", "y_season",
+        F.count("value").over(each).alias("n_values"),
         F.lit(season).alias("season"),
-        F.when(train, F.col("value")).alias("y"),
-        F.when(~train, F.col("value")).alias("y_later"),
     )
 
 
-def fit(
+def _held(holdout: int) -> str:
+    return f"held_{holdout}"
+
+
+def fits(
     df: DataFrame,
     method: str = "trend",
+    holdouts: Sequence[int] = (0,),
     series: str = "symbol",
     ts: str = "date",
     target: str = "close",
-    min_obs: int | None = None,
     season: int = 7,
-    holdout: int = 0,
     keyed: bool = False,
 ) -> DataFrame:
-    """One row per series: its parameters, or the ``reason`` it was skipped.
+    """One row per series with the aggregates of several models, from one pass.
 
-    ``last_ts``, after which forecasts start, is the last row of the series even
-    if its target is null. ``holdout`` keeps the last observations of each series
-    out of the fit and returns them in ``held_out``, in order; forecasts then
-    start after the last training observation. ``keyed`` vouches for one row per
-    series and day, as the duplicate check of the raw table does; it saves the
-    shuffle that would combine repeated days.
+    Each model leaves the last ``holdout`` observations of a series out: the
+    aggregates of all of them see the same indexed rows and mask those that are
+    not theirs. ``model_of`` takes one model out, without a shuffle.
     """
-    spec = _method(method)
-    needed = max(spec.min_obs, min_obs or 0, season + 1 if method == "seasonal_naive" else 0)
-    points = observations(df, series, ts, target, season, holdout, keyed)
-    in_training = F.col("y").isNotNull()
-    trained_ts = F.when(in_training, F.col("ts"))
-    grouped = points.groupBy("series").agg(
-        F.count("y").alias("n_obs"),
-        (F.min(trained_ts) == F.max(trained_ts)).alias("one_date"),
-        F.max(trained_ts if holdout else F.col("ts")).alias("last_ts"),
+    spec = method_of(method)
+    points = observations(df, series, ts, target, season, keyed)
+    value, x = F.col("value"), F.col("x")
+
+    def one(holdout: int) -> Column:
+        n = F.col("n_values") - holdout
+        y = F.when(x <= n, value) if holdout else value
+        trained_ts = F.when(y.isNotNull(), F.col("ts"))
+        found = {
+            "n_obs": F.count(y),
+            "one_date": F.min(trained_ts) == F.max(trained_ts),
+            "last_ts": F.max(trained_ts if holdout else F.col("ts")),
+            **spec.aggregates(y, n),
+        }
+        if holdout:
+            later = F.when(value.isNotNull() & (x > n), F.struct("x", value.alias("y_later")))
+            found["held_out"] = F.collect_list(later)
+        return F.struct(*[c.alias(name) for name, c in found.items()]).alias(_held(holdout))
+
+    return points.groupBy("series").agg(
         F.sum("n_rows").alias("n_rows"),
         F.count("value").alias("n_dates"),
-        *([F.collect_list(F.when(F.col("y_later").isNotNull(), F.struct("x", "y_later")))
-           .alias("held_out")] if holdout else []),
-        *spec.aggregates(season),
+        *[one(h) for h in holdouts],
     )
+
+
+def model_of(
+    found: DataFrame,
+    method: str = "trend",
+    holdout: int = 0,
+    min_obs: int | None = None,
+    season: int = 7,
+) -> DataFrame:
+    """The model of ``fits`` that leaves ``holdout`` observations out; narrow."""
+    spec = method_of(method)
+    needed = max(spec.min_obs, min_obs or 0, season + 1 if method == "seasonal_naive" else 0)
+    model = found.select("series", "n_rows", "n_dates", f"{_held(holdout)}.*")
     for name, value in spec.parameters:
-        grouped = grouped.withColumn(name, value)
+        model = model.withColumn(name, value)
     if holdout:
-        grouped = grouped.withColumn(
+        model = model.withColumn(
             "held_out", F.transform(F.array_sort("held_out"), lambda r: r["y_later"])
         )
     n_given = F.col("n_rows") - F.col("n_dates") + F.col("n_obs")
@@ -289,31 +311,58 @@ def fit(
         .when(F.col("n_rows") > F.col("n_dates"), REPEATED)
     )
     return (
-        grouped.withColumn("reason", reason)
+        model.withColumn("reason", reason)
         .withColumn("method", F.lit(method))
         .drop(*_SCRATCH)
     )
 
 
+def fit(
+    df: DataFrame,
+    method: str = "trend",
+    series: str = "symbol",
+    ts: str = "date",
+    target: str = "close",
+    min_obs: int | None = None,
+    season: int = 7,
+    holdout: int = 0,
+    keyed: bool = False,
+) -> DataFrame:
+    """One row per series: its parameters, or the ``reason`` it was skipped.
+
+    ``last_ts``, after which forecasts start, is the last row of the series even
+    if its target is null. ``holdout`` keeps the last observations of each series
+    out of the fit and returns them in ``held_out``, in order; forecasts then
+    start after the last training observation. ``keyed`` vouches for one row per
+    series and day, as the duplicate check of the raw table does; it saves the
+    shuffle that would combine repeated days.
+    """
+    found = fits(df, method, (holdout,), series, ts, target, season, keyed)
+    return model_of(found, method, holdout, min_obs, season)
+
+
 def skipped(model: DataFrame) -> DataFrame:
     """Series that could not be fitted, and why."""
     return model.where(F.col("reason").isNotNull()).select("series", "n_obs", "reason")
 
 
-def _ahead(model: DataFrame, method: str, horizon: int, level: float) -> DataFrame:
-    """Fitted series, one row per step with forecast and bounds."""
+def _z(horizon: int, level: float) -> float:
     if horizon < 1:
         raise ValueError("horizon must be at least 1")
     if not 0 < level < 1:
         raise ValueError("level must lie between 0 and 1")
-    spec = _method(method)
-    z = NormalDist().inv_cdf(0.5 + level / 2)
+    return NormalDist().inv_cdf(0.5 + level / 2)
+
+
+def _ahead(model: DataFrame, method: str, horizon: int, level: float) -> DataFrame:
+    """Fitted series, one row per step with forecast and bounds."""
+    z, spec, step = _z(horizon, level), method_of(method), F.col("step")
     steps = F.explode(F.sequence(F.lit(1), F.lit(horizon)))
     return (
         model.where(F.col("reason").isNull())
         .select("*", steps.alias("step"))
-        .withColumn("forecast", spec.point)
-        .withColumn("half_width", F.lit(z) * spec.spread)
+        .withColumn("forecast", spec.point(step))
+        .withColumn("half_width", F.lit(z) * spec.spread(step))
         .withColumn("lower_bound", F.col("forecast") - F.col("half_width"))
         .withColumn("upper_bound", F.col("forecast") + F.col("half_width"))
     )
@@ -348,6 +397,51 @@ def forecast(
     return predict(fit(df, method, **fit_options), method, horizon, level, calendar)
 
 
+def _mean(values: Column) -> Column:
+    """Mean of an array of doubles; null if it is empty."""
+    total = F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
+    return total / F.nullif(F.size(values), F.lit(0))
+
+
+def scores(model: DataFrame, method: str = "trend", horizon: int = 7, level: float = 0.95) -> DataFrame:
+    """Accuracy per series of a model that holds back its last ``horizon`` observations.
+
+    The held-out values travel in the model row, so this is narrow: nothing is
+    joined back or grouped. MAPE and sMAPE are fractions and leave out
+    observations that would divide by zero.
+    """
+    z, spec = _z(horizon, level), method_of(method)
+    steps = F.transform(F.sequence(F.lit(1), F.lit(horizon)), lambda k: F.struct(
+        F.get("held_out", k - 1).alias("actual"), spec.point(k).alias("forecast"),
+        (F.lit(z) * spec.spread(k)).alias("half_width")))
+    found = model.where(F.col("reason").isNull()).select(
+        "series", F.filter(steps, lambda s: s["actual"].isNotNull()).alias("steps")).where(F.size("steps") > 0)
+
+    def each(value: Callable[[Column], Column], where: Callable[[Column], Column] | None = None) -> Column:
+        kept = F.filter("steps", where) if where else F.col("steps")
+        return _mean(F.transform(kept, value))
+
+    def error(s: Column) -> Column:
+        return s["actual"] - s["forecast"]
+
+    def size(s: Column) -> Column:
+        return F.abs(s["actual"]) + F.abs(s["forecast"])
+
+    def inside(s: Column) -> Column:
+        return (s["actual"] >= s["forecast"] - s["half_width"]) & (s["actual"] <= s["forecast"] + s["half_width"])
+
+    return found.select(
+        "series",
+        F.size("steps").cast("bigint").alias("n"),
+        each(lambda s: F.abs(error(s))).alias("mae"),
+        each(lambda s: error(s) * error(s)).alias("mse"),
+        F.sqrt(each(lambda s: error(s) * error(s))).alias("rmse"),
+        each(lambda s: F.abs(error(s) / s["actual"]), lambda s: s["actual"] != 0).alias("mape"),
+        each(lambda s: 2 * F.abs(error(s)) / size(s), lambda s: size(s) != 0).alias("smape"),
+        each(lambda s: inside(s).cast("double")).alias("coverage"),
+    )
+
+
 def backtest(
     df: DataFrame,
     method: str = "trend",
@@ -355,25 +449,5 @@ def backtest(
     level: float = 0.95,
     **fit_options,
 ) -> DataFrame:
-    """Accuracy per series over its last ``horizon`` observations.
-
-    The held-out values travel in the model row, so nothing is joined back and
-    the error aggregate needs no further shuffle. MAPE and sMAPE are fractions
-    and leave out observations that would divide by zero.
-    """
-    model = fit(df, method, holdout=horizon, **fit_options)
-    scored = _ahead(model, method, horizon, level).withColumn(
-        "actual", F.get("held_out", F.col("step") - 1)
-    ).where(F.col("actual").isNotNull())
-    error = F.col("actual") - F.col("forecast")
-    size = F.abs("actual") + F.abs("forecast")
-    inside = F.col("actual").between(F.col("lower_bound"), F.col("upper_bound"))
-    return scored.groupBy("series").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg(F.abs(error)).alias("mae"),
-        F.avg(error * error).alias("mse"),
-        F.sqrt(F.avg(error * error)).alias("rmse"),
-        F.avg(F.when(F.col("actual") != 0, F.abs(error / F.col("actual")))).alias("mape"),
-        F.avg(F.when(size != 0, 2 * F.abs(error) / size)).alias("smape"),
-        F.avg(inside.cast("double")).alias("coverage"),
-    )
+    """Accuracy per series over its last ``horizon`` observations."""
+    return scores(fit(df, method, holdout=horizon, **fit_options), method, horizon, level)

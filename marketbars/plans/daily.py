@@ -7,24 +7,29 @@ and a failed stage can be run again alone, for the same moment.
 from __future__ import annotations
 
 import logging
-from datetime import datetime
+from collections.abc import Callable
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marketbars.operators.clean import clean_counts, normalize
+from marketbars.operators.blocks import BLOCK, block_number, block_of, block_span, block_stats, merge_blocks
+from marketbars.operators.clean import counts_of, typed_bars
 from marketbars.operators.dedup import keep_one, row_stats
-from marketbars.operators.forecast import backtest, fit, predict
+from marketbars.operators.forecast import fits, model_of, predict, scores
 from marketbars.operators.mart import final_union, mart_stock_analysis
 from marketbars.operators.quality import (
     MODEL_CHECKS,
+    distinct_report,
     raise_on_duplicates,
     raise_on_failure,
     report,
 )
 from marketbars.operators.staging import forecast_rows, history_rows
 from marketbars.settings import Settings
-from marketbars.shared import stored
+from marketbars.shared import scratch
 from marketbars.sinks.history import update_snapshot
+from marketbars.sinks.parts import in_parts, month_number, refresh_touched, replace_parts
 from marketbars.sinks.tables import (
     append,
     create_staging_views,
@@ -41,44 +46,94 @@ log = logging.getLogger(__name__)
 def run_ingest(spark: SparkSession, incoming: DataFrame, cfg: Settings) -> dict[str, int]:
     """Incoming bars to the stage, then the raw table refreshed from it.
 
-    Loading the stage is one narrow pass. Duplicates are settled once, at the
-    refresh. Rows per symbol before and after cleaning go to a small table.
+    The delivery is scanned once: its typed rows are kept for the length of the run,
+    and the look-back, the stage and the counts per symbol before and after cleaning
+    read the columns they need from there. Duplicates are settled once, at the refresh.
+    With ``refresh="touched"`` raw is kept by month, and only the months that the stage
+    touches are read and written.
     """
     ensure_tables(spark, cfg)
     empty_table(spark, cfg.stage)
-    bars = normalize(incoming)
-    if cfg.symbols is not None:
-        bars = in_universe(bars, cfg.symbols)
-    staged = append(lookback(bars, cfg.train_days, cfg.as_of), cfg.stage)
+    with scratch(typed_bars(incoming), "typed") as typed:
+        bars = typed.dropna(subset=["date"])
+        if cfg.symbols is not None:
+            bars = in_universe(bars, cfg.symbols)
+        staged = append(lookback(bars, cfg.train_days, cfg.as_of), cfg.stage)
+        counts = counts_of(typed.select("symbol", "date"))
+        publish(counts, cfg.ingest_counts, cfg.location("adhoc", "ingest_counts"))
     stage = spark.table(cfg.stage)
     if cfg.symbols is not None:
         # At most one row per configured symbol.
         absent = [r["symbol"] for r in missing_symbols(spark, stage, cfg.symbols).collect()]
         if absent:
             raise RuntimeError(f"no data for {sorted(absent)}")
-    publish(keep_one(stage), cfg.raw, cfg.location("raw", "market_data"))
-    raw = spark.table(cfg.raw)
-    stats = {"staged_rows": staged, **row_stats(raw).first().asDict()}
+    place = cfg.location("raw", "market_data")
+    if cfg.refresh == "touched":
+        months = refresh_touched(stage, cfg.raw, place, first=_first(cfg, month_number))
+        written = in_parts(spark, cfg.raw, months)
+    else:
+        publish(keep_one(stage), cfg.raw, place)
+        written = spark.table(cfg.raw)
+    stats = {"staged_rows": staged, **row_stats(written).first().asDict()}
     if stats["total_rows"] != stats["distinct_pairs"]:
-        raise_on_duplicates(raw)
-    publish(clean_counts(incoming), cfg.ingest_counts, cfg.location("adhoc", "ingest_counts"))
+        raise_on_duplicates(written)
+    if cfg.refresh == "touched" and cfg.method == "trend":
+        refresh_blocks(spark, cfg, stage)
     log.info("ingested %s", stats)
     return stats
 
 
+def _first(cfg: Settings, number: Callable[[date], int]) -> int | None:
+    """The number of the first part that the look-back reaches; none if it has no fixed end."""
+    if cfg.as_of is None or cfg.train_days is None:
+        return None
+    return number(cfg.as_of - timedelta(days=cfg.train_days - 1))
+
+
+def refresh_blocks(spark: SparkSession, cfg: Settings, rows: DataFrame) -> list[int]:
+    """Compute the statistics of the blocks that ``rows`` touch anew from raw; their numbers.
+
+    Reads the months of those blocks and no others. Blocks before the look-back leave
+    the table whole.
+    """
+    days = cfg.block_days
+    first = _first(cfg, lambda d: block_number(d, days))
+    block = block_of(F.col("date"), days)
+    # At most one number per block of days that the rows span.
+    touched = sorted(r[0] for r in rows.select(block).distinct().collect())
+    touched = [b for b in touched if first is None or b >= first]
+    spans = [block_span(b, days) for b in touched]
+    months = sorted({y * 100 + m for a, z in spans for y, m in _months_between(a, z)})
+    bars = in_parts(spark, cfg.raw, months).where(block.isin(*touched))
+    replace_parts(block_stats(bars, days), BLOCK, touched, cfg.blocks, cfg.location("analytics", "price_blocks"),
+                  first, allow_empty=True)
+    return touched
+
+
+def _months_between(first: date, last: date) -> list[tuple[int, int]]:
+    counted = range(first.year * 12 + first.month - 1, last.year * 12 + last.month)
+    return [(m // 12, m % 12 + 1) for m in counted]
+
+
 def run_forecast(spark: SparkSession, cfg: Settings) -> DataFrame:
     """Fit, evaluate, predict, and the final table of history and predictions.
 
     The ingest has checked that raw holds one row per symbol and day, so the
-    fit need not combine repeats and takes one shuffle.
+    fit need not combine repeats. The model and its evaluation come from one pass and
+    one shuffle. Where raw is kept by month, the trend itself comes from the stored
+    blocks instead.
     """
     train = create_train_view(spark, cfg)
-    options = {"min_obs": cfg.min_obs, "keyed": True}
-    publish(fit(train, cfg.method, **options), cfg.model, cfg.location("analytics", "price_model"))
-    scores = backtest(train, cfg.method, cfg.horizon, cfg.level, **options)
-    place = cfg.location("analytics", "price_model_metrics")
-    # Series too short to hold anything back have no score.
-    publish(scores, cfg.metrics, place, allow_empty=True)
+    place = cfg.location("analytics", "price_model")
+    with scratch(fits(train, cfg.method, (0, cfg.horizon), keyed=True), "fits") as found:
+        if cfg.refresh == "touched" and cfg.method == "trend":
+            publish(merge_blocks(in_parts(spark, cfg.blocks), cfg.min_obs), cfg.model, place)
+        else:
+            publish(model_of(found, cfg.method, 0, cfg.min_obs), cfg.model, place)
+        held_back = model_of(found, cfg.method, cfg.horizon, cfg.min_obs)
+        # Series too short to hold anything back have no score.
+        publish(scores(held_back, cfg.method, cfg.horizon, cfg.level), cfg.metrics,
+                cfg.location("analytics", "price_model_metrics"), allow_empty=True)
     ahead = predict(spark.table(cfg.model), cfg.method, cfg.horizon, cfg.level, cfg.calendar)
     publish(ahead, cfg.forecast, cfg.location("adhoc", "market_data_forecast"))
     final = final_union(spark.table(cfg.raw), spark.table(cfg.forecast))
@@ -101,19 +156,14 @@ def run_publish(spark: SparkSession, cfg: Settings, as_of: datetime) -> DataFram
     # The ingest has checked that keys are unique.
     update_snapshot(spark, raw, cfg, as_of, checked=True)
     # Ranges are found by sampling: of stored rows, so that the window runs once.
-    publish(
-        stored(mart_from(raw, final, cfg.strict_forecast), "mart"),
-        cfg.mart,
-        cfg.location("analytics", "mart_stock_analysis"),
-        range_by=("symbol", "date"),
-    )
+    with scratch(mart_from(raw, final, cfg.strict_forecast), "mart") as rows:
+        publish(rows, cfg.mart, cfg.location("analytics", "mart_stock_analysis"), range_by=("symbol", "date"))
     mart = spark.table(cfg.mart)
-    stg_history, stg_forecast = create_staging_views(spark, cfg)
-    for name, table, rule in (
-        ("stg_market_data", stg_history, False),
-        ("stg_market_forecast", stg_forecast, False),
-        ("mart_stock_analysis", mart, True),
-    ):
-        found = raise_on_failure(report(table, MODEL_CHECKS[name], mart_rule=rule), name)
-        log.info("%s passed %d checks", name, len(found))
+    create_staging_views(spark, cfg)
+    staged = {"stg_market_data": history_rows(raw), "stg_market_forecast": forecast_rows(final, cfg.strict_forecast)}
+    # The staging tables are distinct rows; what they hold is told without making them.
+    found = {name: distinct_report(rows, MODEL_CHECKS[name]) for name, rows in staged.items()}
+    found["mart_stock_analysis"] = report(mart, MODEL_CHECKS["mart_stock_analysis"], mart_rule=True)
+    for name, checks in found.items():
+        log.info("%s passed %d checks", name, len(raise_on_failure(checks, name)))
     return mart
