@@ -7,15 +7,19 @@ from marketbars.sources.bars import (
     read_bars,
     wide_to_long,
 )
+from marketbars.sources.delivered import index_files, read_named, write_delivery
 from marketbars.sources.universe import in_universe, missing_symbols, universe
 
 __all__ = [
     "daily_bars",
     "flatten_symbol",
     "in_universe",
+    "index_files",
     "lookback",
     "missing_symbols",
     "read_bars",
+    "read_named",
     "universe",
     "wide_to_long",
+    "write_delivery",
 ]

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from datetime import date
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,12 +43,13 @@ def daily_bars(
     """Resample ticks to one OHLCV row per symbol and day.
 
     One shuffle of pre-aggregated rows: a hot symbol or day collapses in the
-    map tasks. With ``ts`` alone the aggregate buffers are fixed width, so it
-    hashes; give ``sequence`` where ticks share a timestamp, and equal times
-    are broken by it (this orders by a struct, so it sorts instead).
+    map tasks. Give ``sequence`` where ticks share a timestamp, and equal times
+    are broken by it. Timestamp and whole-number sequence are packed into one
+    decimal, so aggregate buffers are of fixed width and the aggregate hashes;
+    other types order by a struct, and it sorts instead.
     """
     symbol = F.col(symbol) if isinstance(symbol, str) else symbol
-    order = F.struct(ts, sequence) if sequence else F.col(ts)
+    order = _moment(ticks, ts, sequence) if sequence else F.col(ts)
     volume = F.count(F.lit(1)) if volume is None else volume
     return (
         ticks.where(F.col(ts).isNotNull())
@@ -61,6 +64,27 @@ def daily_bars(
     )
 
 
+#: More than the 2^64 values of a long sequence, in decimal.
+_SEQUENCES = 2 * 10**19
+
+
+def _moment(ticks: DataFrame, ts: str, sequence: str) -> Column:
+    """Orders ticks by time, then sequence, a null sequence first."""
+    kind = ticks.schema[ts].dataType
+    if not isinstance(ticks.schema[sequence].dataType, T.IntegralType):
+        return F.struct(ts, sequence)
+    if isinstance(kind, T.TimestampType):
+        micros = F.unix_micros(ts)
+    elif isinstance(kind, T.TimestampNTZType):
+        # Wall-clock time since 1970, whatever the session's zone.
+        since = F.expr(f"CAST({quote(ts)} - TIMESTAMP_NTZ '1970-01-01 00:00:00' AS INTERVAL SECOND)")
+        micros = (since.cast("decimal(24,6)") * 1_000_000).cast("bigint")
+    else:
+        return F.struct(ts, sequence)
+    step = F.coalesce(F.col(sequence).cast("bigint"), F.lit(-(1 << 63))).cast("decimal(19,0)")
+    return micros.cast("decimal(18,0)") * F.lit(Decimal(_SEQUENCES)).cast("decimal(20,0)") + step
+
+
 def lookback(
     bars: DataFrame,
     days: int | None = 180,
@@ -96,31 +120,35 @@ def wide_to_long(
 ) -> DataFrame:
     """Columns named ``field<separator>symbol`` to one row per date and symbol.
 
-    A narrow projection: each row becomes an array of bars, exploded in place,
-    so nothing is shuffled or pivoted. Fields a symbol lacks become null, and
-    ``drop_empty`` leaves out bars in which every field is null.
+    A narrow projection, so nothing is shuffled or pivoted: each field becomes
+    one array over all symbols, and the arrays are taken apart together with the
+    list of names. The plan has one expression a field however many symbols there
+    are. Fields a symbol lacks become null, and ``drop_empty`` leaves out bars in
+    which every field is null.
     """
     pairs = [c.rsplit(separator, 1) for c in wide.columns if c != date and separator in c]
     fields = list(dict.fromkeys(f for f, _ in pairs))
-    have = {(f, s): f"{f}{separator}{s}" for f, s in pairs}
-    types = {f.name: f.dataType for f in wide.schema}
-    field_type = {f: types[name] for (f, _), name in reversed(have.items())}
-
-    def bar(symbol: str) -> Column:
-        values = [
-            F.col(quote(have[f, symbol])) if (f, symbol) in have else F.lit(None)
-            for f in fields
-        ]
-        return F.struct(
-            F.lit(symbol).alias("symbol"),
-            *[v.cast(field_type[f]).alias(f) for f, v in zip(fields, values)],
-        )
-
     symbols = list(dict.fromkeys(s for _, s in pairs))
     if not symbols:
         raise ValueError(f"no column is named <field>{separator}<symbol>: {wide.columns}")
-    long = wide.select(F.col(date), F.explode(F.array(*map(bar, symbols))).alias("bar"))
-    long = long.select(date, "bar.*")
+    have = {(f, s): f"{f}{separator}{s}" for f, s in pairs}
+    types = {f.name: f.dataType.simpleString() for f in wide.schema}
+
+    def values(field: str) -> str:
+        kind = next(types[have[field, s]] for s in symbols if (field, s) in have)
+
+        def value(symbol: str) -> str:
+            name = have.get((field, symbol))
+            if name is None:
+                return f"CAST(NULL AS {kind})"
+            return quote(name) if types[name] == kind else f"CAST({quote(name)} AS {kind})"
+
+        return f"array({', '.join(map(value, symbols))}) AS {quote(field)}"
+
+    names = F.from_json(F.lit(json.dumps(symbols)), "array<string>")
+    arrays = wide.selectExpr(quote(date), *map(values, fields)).withColumn("symbol", names)
+    zipped = F.arrays_zip("symbol", *[F.col(quote(f)) for f in fields])
+    long = arrays.select(F.col(quote(date)), F.inline(zipped))
     return long.dropna("all", subset=fields) if drop_empty else long
 
 
