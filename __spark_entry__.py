@@ -24,12 +24,14 @@ from pyspark.sql import types as T  # noqa: E402
 import bar_oracle as oracle  # noqa: E402
 from marketbars.operators import dedup, mart, quality, snapshot, staging  # noqa: E402
 from marketbars.operators import forecast as fc  # noqa: E402
+from marketbars.operators.blocks import merge_blocks  # noqa: E402
 from marketbars.operators.clean import clean_counts, normalize, typed_bars  # noqa: E402
 from marketbars.plans.daily import mart_from, run_forecast, run_ingest, run_publish  # noqa: E402
 from marketbars.schema import BARS, require_columns, conform  # noqa: E402
 from marketbars.settings import Settings  # noqa: E402
 from marketbars.shared import run_dir, stored  # noqa: E402
-from marketbars.sinks.history import update_snapshot  # noqa: E402
+from marketbars.sinks.history import compact, update_snapshot  # noqa: E402
+from marketbars.sinks.parts import in_parts  # noqa: E402
 from marketbars.sinks.tables import (  # noqa: E402
     append,
     create_staging_views,
@@ -45,8 +47,10 @@ from marketbars.sources import (  # noqa: E402
     lookback,
     missing_symbols,
     read_bars,
+    read_named,
     universe,
     wide_to_long,
+    write_delivery,
 )
 
 try:
@@ -178,6 +182,15 @@ def _universe_literal(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(in_universe(_by_type(spark, sf), oracle.SYMBOL_LIST))
 
 
+def _read_bars_named(spark: SparkSession, sf: str) -> DataFrame:
+    """Named symbols of two indexed deliveries; files that hold none of them are not opened."""
+    path = run_dir(spark, "delivered")
+    for half in (0, 1):
+        bars = conform(_by_type(spark, sf), BARS).where(F.dayofmonth("date") % 2 == half)
+        write_delivery(bars, path, range_by=("symbol",))
+    return _rounded(read_named(spark, path, oracle.SYMBOL_LIST))
+
+
 def _missing_symbols(spark: SparkSession, sf: str) -> DataFrame:
     ticks = _events(spark, sf).select(F.upper("event_type").alias("symbol"))
     return missing_symbols(spark, ticks, oracle.SYMBOL_LIST)
@@ -251,6 +264,37 @@ def _full_refresh(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(spark.table(cfg.raw))
 
 
+def _orders_delivery(spark: SparkSession, sf: str, number: int) -> DataFrame:
+    """One of three deliveries of orders as bars: each covers some years, and later ones restate earlier days."""
+    first, last = oracle.DELIVERED[number]
+    orders = spark.read.parquet(f"{sf}/orders.parquet").where(F.col("o_orderdate").between(first, last))
+    price = F.col("o_totalprice") + number
+    return orders.select(
+        F.concat(F.lit("c"), (F.col("o_custkey") % 40).cast("string")).alias("symbol"),
+        F.col("o_orderdate").alias("Date"), price.alias("Open"), price.alias("High"), price.alias("Low"),
+        price.alias("Close"), F.col("o_orderkey").alias("Volume"))
+
+
+def _refresh_touched(spark: SparkSession, sf: str) -> DataFrame:
+    """The raw table after three deliveries, of which each is written to the months it touches."""
+    cfg = _settings(spark, train_days=None, refresh="touched")
+    for number in sorted(oracle.DELIVERED):
+        run_ingest(spark, _orders_delivery(spark, sf, number), cfg)
+    return _rounded(spark.table(cfg.raw))
+
+
+def _trend_params_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """The trend after three deliveries, merged from blocks of which each delivery computes those it touches."""
+    cfg = _settings(spark, train_days=None, refresh="touched", block_days=oracle.BLOCK_DAYS)
+    for first, last in oracle.SPANS:
+        day = F.to_date("Date")
+        part = _incoming(spark, sf).where(day.isNull() | day.between(first, last))
+        run_ingest(spark, part, cfg)
+    model = merge_blocks(in_parts(spark, cfg.blocks), cfg.min_obs)
+    return _rounded(model.where("reason IS NULL").select(
+        "series", "n_obs", "last_ts", "slope", "intercept", "sigma", "method"))
+
+
 def _table_replace(spark: SparkSession, sf: str) -> DataFrame:
     """A published table replaced by one with other columns."""
     cfg = _settings(spark)
@@ -327,6 +371,13 @@ def _dq_report_stage(spark: SparkSession, sf: str) -> DataFrame:
     return quality.report(rows, quality.MODEL_CHECKS["stg_market_data"])
 
 
+def _dq_report_staged(spark: SparkSession, sf: str) -> DataFrame:
+    """Checks of the distinct staged rows, from rows that are there up to three times."""
+    rows = staging.history_rows(_stage(spark, sf))
+    rows = rows.unionByName(rows).unionByName(rows.where("volume % 2 = 0"))
+    return quality.distinct_report(rows, quality.MODEL_CHECKS["stg_market_data"])
+
+
 def _snapshot_initial(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(snapshot.initial(_snapshot_sources(spark, sf)[0], FIRST_RUN))
 
@@ -363,6 +414,16 @@ def _snapshot_after_failure(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(update_snapshot(spark, second, cfg, SECOND_RUN))
 
 
+def _snapshot_compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored snapshot after a run, its compaction, and a second run."""
+    cfg = _settings(spark)
+    ensure_tables(spark, cfg)
+    first, second = _snapshot_sources(spark, sf)
+    update_snapshot(spark, first, cfg, FIRST_RUN)
+    compact(spark, cfg)
+    return _rounded(update_snapshot(spark, second, cfg, SECOND_RUN))
+
+
 def _ingest_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Rows per symbol before and after cleaning, as the ingest stores them."""
     cfg = _settings(spark, train_days=None)
@@ -401,6 +462,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lookback_as_of": _lookback_as_of,
         "symbol_universe": _symbol_universe,
         "symbol_universe_literal": _universe_literal,
+        "read_bars_named": _read_bars_named,
         "missing_symbols": _missing_symbols,
         "wide_to_long": _wide_to_long,
         "wide_flatten": _wide_flatten,
@@ -409,6 +471,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "insert_columns": _insert_columns,
         "write_guard": _write_guard,
         "full_refresh": _full_refresh,
+        "refresh_touched": _refresh_touched,
         "table_replace": _table_replace,
         "daily_run_mart": _daily_run_mart,
         # cleaning and duplicates
@@ -436,6 +499,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "last_hist_date": lambda s, d: quality.last_history_day(_mart(s, d)),
         # forecasting
         "trend_params": _trend_params,
+        "trend_params_merged": _trend_params_merged,
         "skipped_series": _skipped_series,
         "forecast_trend": _forecast("trend"),
         "forecast_trend_weekday": _forecast("trend", calendar="weekday", level=0.8),
@@ -453,12 +517,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_forecast_future": _dq_forecast_future,
         "dq_report": _dq_report,
         "dq_report_stage": _dq_report_stage,
+        "dq_report_staged": _dq_report_staged,
         # snapshot
         "snapshot_initial": _snapshot_initial,
         "snapshot_changes": _snapshot_changes,
         "snapshot_apply": _snapshot_apply,
         "snapshot_table": _snapshot_table,
         "snapshot_after_failure": _snapshot_after_failure,
+        "snapshot_compacted": _snapshot_compacted,
         **(llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {}),
     }
 

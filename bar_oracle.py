@@ -19,6 +19,10 @@ LOOKBACK_END = date(2024, 1, 25)
 HORIZON = 7
 SEASON = 7
 MANY_OBS = 21
+#: Days of orders that each of three deliveries covers, and of events.
+DELIVERED = {1: ("1995-01-01", "1997-06-30"), 2: ("1997-03-10", "2000-02-20"), 3: ("1999-11-05", "2001-12-31")}
+SPANS = (("2024-01-01", "2024-01-11"), ("2024-01-08", "2024-01-22"), ("2024-01-20", "2024-01-31"))
+BLOCK_DAYS = 6
 WEIGHTS = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9)
 
 
@@ -58,6 +62,14 @@ def bars(symbol: str, ts: str = "ts") -> str:
       ON l.symbol = b.symbol AND l.t = b.t1"""
 
 
+REFRESHED = f"""
+    SELECT DISTINCT ON (symbol, date) symbol, date, price AS open, price AS close, price AS low, price AS high, volume
+    FROM ({" UNION ALL ".join(f"""SELECT 'C' || (o_custkey % 40) AS symbol, CAST(o_orderdate AS DATE) AS date,
+            o_totalprice + {k} AS price, o_orderkey AS volume, {k} AS delivery
+        FROM orders WHERE o_orderdate BETWEEN '{first}' AND '{last}'""" for k, (first, last) in DELIVERED.items())})
+    ORDER BY symbol, date, delivery DESC, price, volume"""
+
+
 BY_TYPE = bars("upper(event_type)")
 BY_USER = bars("'U' || user_id")
 BY_USER_LATE = bars("'U' || user_id", "(ts + INTERVAL 6 HOUR)")
@@ -313,6 +325,7 @@ def statements() -> dict[str, str]:
                           f" AND date > DATE '{LOOKBACK_END}' - {LOOKBACK_DAYS}",
         "symbol_universe": listed,
         "symbol_universe_literal": listed,
+        "read_bars_named": listed,
         "missing_symbols": f"SELECT symbol FROM ({NAMES}) EXCEPT SELECT upper(event_type) FROM events",
         "wide_to_long": f"""
             SELECT s.symbol, d.date, {PRICES}, volume
@@ -330,6 +343,7 @@ def statements() -> dict[str, str]:
                    CAST(NULL AS BIGINT) AS volume FROM ({RAW})""",
         "write_guard": f"SELECT count(*) AS rows_written, count(*) AS rows_stored FROM ({STAGE})",
         "full_refresh": raw,
+        "refresh_touched": bar_rows + f"({REFRESHED})",
         "table_replace": train,
         "daily_run_mart": MART,
         "schema_contract": bar_rows + f"({TYPED})",
@@ -365,6 +379,8 @@ def statements() -> dict[str, str]:
         "last_hist_date": f"SELECT symbol, max(date) AS max_hist_date FROM ({RAW}) GROUP BY symbol",
         "trend_params": f"SELECT symbol AS series, n AS n_obs, last_ts, {r('slope')},"
                         f" {r('intercept')}, {r('sigma')}, 'trend' AS method FROM ({trend_model()})",
+        "trend_params_merged": f"SELECT symbol AS series, n AS n_obs, last_ts, {r('slope')},"
+                               f" {r('intercept')}, {r('sigma')}, 'trend' AS method FROM ({trend_model()})",
         "skipped_series": f"SELECT symbol AS series, count(close) AS n_obs, 'too_few_obs' AS reason"
                           f" FROM ({RAW}) GROUP BY symbol HAVING count(close) < {MANY_OBS}",
         "forecast_trend": predictions(ahead("trend")),
@@ -387,9 +403,11 @@ def statements() -> dict[str, str]:
                               f" max_hist_date FROM ({LATE})",
         "dq_report": report(mart(HORIZON), LATE, accepted=True),
         "dq_report_stage": report(STAGED_KEYS, None, accepted=False),
+        "dq_report_staged": report(f"SELECT DISTINCT * FROM ({STAGED_KEYS})", None, accepted=False),
         "snapshot_initial": version(BY_USER, T1, "NULL"),
         "snapshot_changes": CLASSES,
         "snapshot_apply": versions(),
         "snapshot_table": versions(),
         "snapshot_after_failure": versions(),
+        "snapshot_compacted": versions(),
     }

@@ -139,7 +139,10 @@ def switch(spark: SparkSession, table: str, schema: T.StructType, location: str,
                           for value, of in (parts or {}).items())
         if listed:
             spark.sql(f"ALTER TABLE {version} ADD {listed}")
-    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType != "VIEW":
+    kind = spark.catalog.getTable(table).tableType if spark.catalog.tableExists(table) else "VIEW"
+    if kind == "MANAGED":
+        raise ValueError(f"{table} is a managed table, whose files would go with it")
+    if kind != "VIEW":
         spark.sql(f"DROP TABLE {table}")  # once, of a table that was published before there were versions
     names = ", ".join(quoted(f.name) for f in schema)
     spark.sql(f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ('{VERSION}' = '{run}', '{PARTITIONS}' = '{held}') "
@@ -168,9 +171,10 @@ def retain(spark: SparkSession, table: str, location: str, keep: int = 1) -> lis
         return []
     schema, _, name = table.rpartition(".")
     prefix = f"{name.strip('`')}__"
-    pattern = prefix.replace("_", "?")
-    found = [r["tableName"] for r in spark.sql(f"SHOW TABLES IN {schema} LIKE '{pattern}run?*'").collect()]
+    found = [r["tableName"] for r in spark.sql(f"SHOW TABLES IN {schema} LIKE '{prefix}run_*'").collect()]
     runs = sorted(n.removeprefix(prefix) for n in found if n.startswith(prefix))
+    if current[0] not in runs:
+        raise RuntimeError(f"the catalog does not list version {current[0]} of {table}")
     older = [r for r in runs if r < current[0]]
     gone = older[:max(len(older) - keep, 0)]
     for run in gone:
