@@ -36,11 +36,12 @@ def final_union(raw: DataFrame, predictions: DataFrame) -> DataFrame:
     return history.unionByName(ahead)
 
 
-def mart_stock_analysis(history: DataFrame, forecasts: DataFrame) -> DataFrame:
+def mart_stock_analysis(history: DataFrame, forecasts: DataFrame, ranges: bool = False) -> DataFrame:
     """One tagged row per (symbol, date) from staged history and forecasts.
 
     Either side may hold exact repeats; the choice of one row per key absorbs
     them, so the plan has one shuffle, trimmed to one row per key and map task.
+    With ``ranges`` that shuffle deals ranges of the key, and is not trimmed.
     """
     key = symbol_key(F.col("symbol"), F.col("date")).alias("pk_symbol_date")
     past = history.select(
@@ -68,7 +69,9 @@ def mart_stock_analysis(history: DataFrame, forecasts: DataFrame) -> DataFrame:
     best = W.partitionBy("symbol", "date").orderBy(
         history_first, *[F.col(c).asc_nulls_last() for c in ties]
     )
-    return past.unionByName(ahead).withColumn("rn", F.row_number().over(best)).where("rn = 1")
+    rows = past.unionByName(ahead)
+    rows = rows.repartitionByRange("symbol", "date") if ranges else rows
+    return rows.withColumn("rn", F.row_number().over(best)).where("rn = 1")
 
 
 def trend_read(mart: DataFrame) -> DataFrame:

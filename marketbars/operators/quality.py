@@ -155,11 +155,12 @@ def distinct_report(rows: DataFrame, checks: Sequence[Check], parts: Sequence[st
     """``report`` of ``rows.distinct()`` without making the distinct rows: one shuffle, on the key.
 
     ``checks`` are one unique check on a key that is null exactly where one of its
-    ``parts`` is, and not_null checks on those parts. Rows of a key become one row
-    after ``distinct`` if in each column they are all null, or none is and its
-    minimum is its maximum; these are aggregates of fixed width, taken before the
-    shuffle, so a key of any number of rows crosses once per task. Rows without a key
-    are told apart by all their columns, and each group of them is one distinct row.
+    ``parts`` is, and else tells them, and not_null checks on those parts. Rows of a
+    key become one row after ``distinct`` if in each other column they are all null,
+    or none is and its minimum is its maximum. Over numbers these are aggregates of
+    fixed width, which hash, and they are taken before the shuffle, so a key of any
+    number of rows crosses once per task. Rows without a key are told apart by all
+    their columns, and each group of them is one distinct row.
     """
     unique_checks = [c for c in checks if c.kind == "unique"]
     nulls = [c for c in checks if c.kind == "not_null"]
@@ -167,17 +168,18 @@ def distinct_report(rows: DataFrame, checks: Sequence[Check], parts: Sequence[st
         raise ValueError("needs one unique check and not_null checks on the parts of its key")
     key = unique_checks[0].column
     others = [c for c in rows.columns if c != key]
+    compared = [c for c in others if c not in parts]
     keyless = F.col(key).isNull()
     groups = rows.groupBy(
         F.col(key).alias("_key"), *[F.when(keyless, F.col(c)).alias(f"_part{i}") for i, c in enumerate(others)]
     ).agg(
         F.count(F.lit(1)).alias("_rows"),
-        *[a for i, c in enumerate(others) for a in (
+        *[a for i, c in enumerate(compared) for a in (
             F.count(c).alias(f"_n{i}"), F.min(c).alias(f"_low{i}"), F.max(c).alias(f"_high{i}"))],
     )
     same = reduce(lambda a, b: a & b, [
         (F.col(f"_n{i}") == 0) | ((F.col(f"_n{i}") == F.col("_rows")) & (F.col(f"_low{i}") == F.col(f"_high{i}")))
-        for i in range(len(others))])
+        for i in range(len(compared))], F.lit(True))
     has_key = F.col("_key").isNotNull()
     totals = groups.agg(
         *[F.count_if(~has_key & F.col(f"_part{others.index(c.column)}").isNull()).alias(f"n{i}")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from marketbars.operators.blocks import BLOCK, block_number, block_of, block_span, block_stats, merge_blocks
 from marketbars.operators.clean import counts_of, typed_bars
-from marketbars.operators.dedup import keep_one, row_stats
+from marketbars.operators.dedup import KEYS, keep_one, row_stats
 from marketbars.operators.forecast import fits, model_of, predict, scores
 from marketbars.operators.mart import final_union, mart_stock_analysis
 from marketbars.operators.quality import (
@@ -28,7 +28,7 @@ from marketbars.operators.quality import (
 from marketbars.operators.staging import forecast_rows, history_rows
 from marketbars.settings import Settings
 from marketbars.shared import scratch
-from marketbars.sinks.history import update_snapshot
+from marketbars.sinks.history import remove_dead, update_snapshot
 from marketbars.sinks.parts import in_parts, month_number, refresh_touched, replace_parts
 from marketbars.sinks.tables import (
     append,
@@ -37,6 +37,7 @@ from marketbars.sinks.tables import (
     empty_table,
     ensure_tables,
     publish,
+    retain,
 )
 from marketbars.sources import in_universe, lookback, missing_symbols
 
@@ -72,7 +73,8 @@ def run_ingest(spark: SparkSession, incoming: DataFrame, cfg: Settings) -> dict[
         months = refresh_touched(stage, cfg.raw, place, first=_first(cfg, month_number))
         written = in_parts(spark, cfg.raw, months)
     else:
-        publish(keep_one(stage), cfg.raw, place)
+        # Dealt by key, as the choice of one row per key has left it.
+        publish(keep_one(stage), cfg.raw, place, bucket_by=KEYS, buckets=cfg.buckets)
         written = spark.table(cfg.raw)
     stats = {"staged_rows": staged, **row_stats(written).first().asDict()}
     if stats["total_rows"] != stats["distinct_pairs"]:
@@ -141,23 +143,28 @@ def run_forecast(spark: SparkSession, cfg: Settings) -> DataFrame:
     return spark.table(cfg.final)
 
 
-def mart_from(raw: DataFrame, final: DataFrame, strict: bool = False) -> DataFrame:
+def mart_from(raw: DataFrame, final: DataFrame, strict: bool = False, ranges: bool = False) -> DataFrame:
     """The mart straight from the raw and final tables, in one shuffle.
 
     The staged rows go in before their ``distinct``: choosing one row per key
-    drops the same repeats, so the two extra shuffles would change nothing.
+    drops the same repeats, so the two extra shuffles would change nothing. With
+    ``ranges`` the shuffle deals ranges of (symbol, date), split evenly by sampled
+    size: the choice needs no other, and the files written hold a range each.
     """
-    return mart_stock_analysis(history_rows(raw), forecast_rows(final, strict))
+    return mart_stock_analysis(history_rows(raw), forecast_rows(final, strict), ranges)
 
 
 def run_publish(spark: SparkSession, cfg: Settings, as_of: datetime) -> DataFrame:
     """Snapshot, mart, then every check of the staging tables and the mart."""
     raw, final = spark.table(cfg.raw), spark.table(cfg.final)
-    # The ingest has checked that keys are unique.
-    update_snapshot(spark, raw, cfg, as_of, checked=True)
-    # Ranges are found by sampling: of stored rows, so that the window runs once.
-    with scratch(mart_from(raw, final, cfg.strict_forecast), "mart") as rows:
-        publish(rows, cfg.mart, cfg.location("analytics", "mart_stock_analysis"), range_by=("symbol", "date"))
+    # The ingest has checked that keys are unique, and has dealt the whole table by key.
+    update_snapshot(spark, raw, cfg, as_of, checked=True, dealt=cfg.refresh == "full")
+    publish(
+        mart_from(raw, final, cfg.strict_forecast, ranges=True),
+        cfg.mart,
+        cfg.location("analytics", "mart_stock_analysis"),
+        sort_by=("symbol", "date"),
+    )
     mart = spark.table(cfg.mart)
     create_staging_views(spark, cfg)
     staged = {"stg_market_data": history_rows(raw), "stg_market_forecast": forecast_rows(final, cfg.strict_forecast)}
@@ -167,3 +174,28 @@ def run_publish(spark: SparkSession, cfg: Settings, as_of: datetime) -> DataFram
     for name, checks in found.items():
         log.info("%s passed %d checks", name, len(raise_on_failure(checks, name)))
     return mart
+
+
+def published(cfg: Settings) -> dict[str, str]:
+    """The tables that a run publishes, and where their folders lie."""
+    return {
+        cfg.raw: cfg.location("raw", "market_data"),
+        cfg.ingest_counts: cfg.location("adhoc", "ingest_counts"),
+        cfg.forecast: cfg.location("adhoc", "market_data_forecast"),
+        cfg.blocks: cfg.location("analytics", "price_blocks"),
+        cfg.model: cfg.location("analytics", "price_model"),
+        cfg.metrics: cfg.location("analytics", "price_model_metrics"),
+        cfg.final: cfg.location("analytics", "market_data"),
+        cfg.mart: cfg.location("analytics", "mart_stock_analysis"),
+    }
+
+
+def clean_up(spark: SparkSession, cfg: Settings, keep: int = 1) -> int:
+    """Remove versions older than the ``keep`` before the current ones, and dead snapshot files.
+
+    How many folders went. Run it between daily runs, not beside one.
+    """
+    gone = [f for table, place in published(cfg).items() for f in retain(spark, table, place, keep)]
+    if spark.catalog.tableExists(cfg.snapshot):
+        gone += remove_dead(spark, cfg)
+    return len(gone)

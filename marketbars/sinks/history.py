@@ -74,25 +74,28 @@ def raise_on_null_keys(source: DataFrame) -> None:
         raise QualityError(f"null in a key column of {KEYS}")
 
 
-def next_versions(held: DataFrame, source: DataFrame, as_of: datetime, buckets: int) -> DataFrame:
+def next_versions(held: DataFrame, source: DataFrame, as_of: datetime, buckets: int,
+                  dealt: bool = False) -> DataFrame:
     """The versions that ``source`` opens or closes.
 
-    The source is dealt as the stored versions are, so it alone moves.
+    The source is dealt as the stored versions are, so it alone moves; with ``dealt``
+    it is a table of as many buckets by key, and nothing moves.
     """
-    dealt = source.repartition(buckets, *KEYS)
-    versions = snapshot.advance(snapshot.open_part(held), dealt, as_of)
+    rows = source if dealt else source.repartition(buckets, *KEYS)
+    versions = snapshot.advance(snapshot.open_part(held), rows, as_of)
     at = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
     return versions.where((F.col("valid_to") == at) | (F.col("valid_from") == at))
 
 
 def update_snapshot(
-    spark: SparkSession, source: DataFrame, cfg: Settings, as_of: datetime, checked: bool = False
+    spark: SparkSession, source: DataFrame, cfg: Settings, as_of: datetime, checked: bool = False,
+    dealt: bool = False,
 ) -> DataFrame:
     """Bring the stored snapshot up to ``source`` as seen at ``as_of``.
 
     The same moment over an unchanged source changes nothing, so a run that
     failed later on can be repeated. ``checked`` says that keys are known to be
-    unique.
+    unique, ``dealt`` that the source is a table in ``cfg.buckets`` buckets by key.
     """
     last, moment = live_epochs(spark, cfg.snapshot), run_name(as_of)
     if last is not None and moment < last[1]:
@@ -105,7 +108,7 @@ def update_snapshot(
         _create_files(spark, cfg, versions.schema)
     else:
         held = spark.table(cfg.snapshot)
-        versions = next_versions(held, source, as_of, cfg.buckets)
+        versions = next_versions(held, source, as_of, cfg.buckets, dealt)
         if moment == last[1]:
             # Versions opened at this moment are there; nothing may close or open.
             at = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
@@ -121,6 +124,8 @@ def update_snapshot(
         F.col(c) if c in ends else F.when(~closing, F.col(c)).alias(c) for c in versions.columns])
     epochs = {} if last is None else last[0]
     epoch = max(epochs, default=0) + 1
+    if last is not None or not dealt:
+        rows = rows.repartition(cfg.buckets, *KEYS)
     _write_epoch(spark, cfg, rows, epoch, last is not None, lambda folder: _commit(
         spark, cfg, versions.columns, epochs | {epoch: folder}, moment))
     return spark.table(cfg.snapshot)
@@ -131,7 +136,7 @@ def compact(spark: SparkSession, cfg: Settings) -> DataFrame:
     epochs, moment = live_epochs(spark, cfg.snapshot)
     history = spark.table(cfg.snapshot)
     epoch = max(epochs) + 1
-    _write_epoch(spark, cfg, history, epoch, False, lambda folder: _commit(
+    _write_epoch(spark, cfg, history.repartition(cfg.buckets, *KEYS), epoch, False, lambda folder: _commit(
         spark, cfg, history.columns, {epoch: folder}, moment))
     dead = ", ".join(f"PARTITION (epoch = {e})" for e in epochs)
     spark.sql(f"ALTER TABLE {cfg.snapshot_files} DROP IF EXISTS {dead}")
@@ -186,9 +191,8 @@ def _write_epoch(spark: SparkSession, cfg: Settings, rows: DataFrame, epoch: int
                  commit: Callable[[str], None]) -> None:
     folder = claim(spark, cfg, epoch)
     try:
-        # One file for each bucket: rows are dealt by the hash that buckets are.
-        dealt = rows.repartition(cfg.buckets, *KEYS).withColumn("epoch", F.lit(epoch))
-        written, seen = counted(dealt)
+        # Rows are dealt by the hash that buckets are, so a task writes few of them.
+        written, seen = counted(rows.withColumn("epoch", F.lit(epoch)))
         written.write.insertInto(cfg.snapshot_files)
         require_rows(seen, cfg.snapshot, allow_empty)
         commit(folder)

@@ -96,20 +96,40 @@ def publish(
     location: str,
     allow_empty: bool = False,
     range_by: Sequence[str] = (),
+    sort_by: Sequence[str] = (),
+    bucket_by: Sequence[str] = (),
+    buckets: int = 0,
 ) -> int:
     """Create the table, or replace its rows, with ``df``.
 
     The rows are written and counted before readers are switched over. With
     ``range_by`` the files are ranges of those columns, split evenly by sampled
-    size, so reads by symbol or date skip most of them.
+    size, so reads by symbol or date skip most of them; ``sort_by`` only sorts each
+    file, of rows that are dealt in ranges already. With ``bucket_by`` the files are dealt into ``buckets`` by the hash of those
+    columns, and later aggregates and joins on them need no exchange; give rows that
+    a shuffle on these columns has dealt already, or every task writes every bucket.
     """
-    run = new_run()
+    spark, run = df.sparkSession, new_run()
     if range_by:
-        df = df.repartitionByRange(*range_by).sortWithinPartitions(*range_by)
+        df = df.repartitionByRange(*range_by)
+    if range_by or sort_by:
+        df = df.sortWithinPartitions(*(range_by or sort_by))
     rows, seen = counted(df)
-    rows.write.mode("errorifexists").parquet(f"{location}/{run}")
-    n = require_rows(seen, table, allow_empty)
-    switch(df.sparkSession, table, df.schema, location, run)
+    if bucket_by:
+        version = version_table(table, run)
+        written = rows.write.format("parquet").mode("errorifexists").bucketBy(buckets, *bucket_by)
+        written.option("path", f"{location}/{run}").saveAsTable(version)
+    else:
+        rows.write.mode("errorifexists").parquet(f"{location}/{run}")
+    try:
+        n = require_rows(seen, table, allow_empty)
+    except EmptyWriteError:
+        if bucket_by:
+            spark.sql(f"DROP TABLE {version}")
+        raise
+    if not bucket_by:
+        _declare(spark, table, df.schema, location, run)
+    _point(spark, table, df.schema, run)
     return n
 
 
@@ -125,28 +145,38 @@ def switch(spark: SparkSession, table: str, schema: T.StructType, location: str,
     With ``partition`` the version's partitions are ``parts``: the value of each, and
     the run whose folder holds it.
     """
-    version = version_table(table, run)
-    columns = ddl(schema)
-    held = json.dumps(dict(parts or {}))
+    _declare(spark, table, schema, location, run, partition, parts)
+    _point(spark, table, schema, run, parts)
+
+
+def _declare(spark: SparkSession, table: str, schema: T.StructType, location: str, run: str,
+             partition: T.StructField | None = None, parts: Mapping[str, str] | None = None) -> None:
+    """A typed table over the folder of ``run``, or over the folders of ``parts``."""
+    version, columns = version_table(table, run), ddl(schema)
     if partition is None:
         spark.sql(f"CREATE TABLE {version} ({columns}) USING parquet LOCATION '{location}/{run}'")
-    else:
-        name = quoted(partition.name)
-        columns += f", {name} {partition.dataType.simpleString()}"
-        spark.sql(f"CREATE TABLE {version} ({columns}) USING parquet PARTITIONED BY ({name}) "
-                  f"LOCATION '{location}/{run}' TBLPROPERTIES ('{PARTITIONS}' = '{held}')")
-        listed = " ".join(f"PARTITION ({name} = {value}) LOCATION '{location}/{of}/{partition.name}={value}'"
-                          for value, of in (parts or {}).items())
-        if listed:
-            spark.sql(f"ALTER TABLE {version} ADD {listed}")
+        return
+    name, held = quoted(partition.name), json.dumps(dict(parts or {}))
+    columns += f", {name} {partition.dataType.simpleString()}"
+    spark.sql(f"CREATE TABLE {version} ({columns}) USING parquet PARTITIONED BY ({name}) "
+              f"LOCATION '{location}/{run}' TBLPROPERTIES ('{PARTITIONS}' = '{held}')")
+    listed = " ".join(f"PARTITION ({name} = {value}) LOCATION '{location}/{of}/{partition.name}={value}'"
+                      for value, of in (parts or {}).items())
+    if listed:
+        spark.sql(f"ALTER TABLE {version} ADD {listed}")
+
+
+def _point(spark: SparkSession, table: str, schema: T.StructType, run: str,
+           parts: Mapping[str, str] | None = None) -> None:
+    """Replace the view ``table`` by one over the version of ``run``."""
     kind = spark.catalog.getTable(table).tableType if spark.catalog.tableExists(table) else "VIEW"
     if kind == "MANAGED":
         raise ValueError(f"{table} is a managed table, whose files would go with it")
     if kind != "VIEW":
         spark.sql(f"DROP TABLE {table}")  # once, of a table that was published before there were versions
-    names = ", ".join(quoted(f.name) for f in schema)
+    names, held = ", ".join(quoted(f.name) for f in schema), json.dumps(dict(parts or {}))
     spark.sql(f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ('{VERSION}' = '{run}', '{PARTITIONS}' = '{held}') "
-              f"AS SELECT {names} FROM {version}")
+              f"AS SELECT {names} FROM {version_table(table, run)}")
 
 
 def current_version(spark: SparkSession, table: str) -> tuple[str, dict[str, str]] | None:

@@ -64,7 +64,7 @@ def daily_bars(
     )
 
 
-#: More than the 2^64 values of a long sequence, in decimal.
+#: More than the values of a long sequence and null.
 _SEQUENCES = 2 * 10**19
 
 
@@ -81,7 +81,8 @@ def _moment(ticks: DataFrame, ts: str, sequence: str) -> Column:
         micros = (since.cast("decimal(24,6)") * 1_000_000).cast("bigint")
     else:
         return F.struct(ts, sequence)
-    step = F.coalesce(F.col(sequence).cast("bigint"), F.lit(-(1 << 63))).cast("decimal(19,0)")
+    first = F.lit(Decimal(-(1 << 63) - 1)).cast("decimal(20,0)")
+    step = F.coalesce(F.col(sequence).cast("decimal(20,0)"), first)
     return micros.cast("decimal(18,0)") * F.lit(Decimal(_SEQUENCES)).cast("decimal(20,0)") + step
 
 

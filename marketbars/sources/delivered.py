@@ -9,7 +9,9 @@ that is missing or behind costs time and no rows.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,8 +74,13 @@ def write_delivery(bars: DataFrame, path: str, file_format: str = "parquet", bit
     return index_files(bars.sparkSession, path, file_format, bars.schema, bits)
 
 
+def _plain(file: str) -> str:
+    """One spelling of a file's name, which readers take."""
+    return re.sub("^file:/+", "file:/", unquote(file))
+
+
 def _listed(spark: SparkSession, path: str, file_format: str, schema: T.StructType | None) -> list[str]:
-    return read_bars(spark, path, file_format, schema).inputFiles()
+    return [_plain(f) for f in read_bars(spark, path, file_format, schema).inputFiles()]
 
 
 def _index(spark: SparkSession, path: str) -> DataFrame | None:
@@ -86,7 +93,7 @@ def _index(spark: SparkSession, path: str) -> DataFrame | None:
 
 def _entries(spark: SparkSession, path: str) -> list[str]:
     index = _index(spark, path)
-    return [] if index is None else [r["file"] for r in index.select("file").collect()]
+    return [] if index is None else [_plain(r["file"]) for r in index.select("file").collect()]
 
 
 def may_hold(names: Sequence[str]) -> Column:
@@ -114,7 +121,7 @@ def read_named(spark: SparkSession, path: str, symbols: str | Sequence[str], fil
     index = _index(spark, path)
     wanted = listed = _listed(spark, path, file_format, schema)
     if index is not None:
-        without = {r["file"] for r in index.where(~may_hold(names)).select("file").collect()}
+        without = {_plain(r["file"]) for r in index.where(~may_hold(names)).select("file").collect()}
         wanted = [f for f in listed if f not in without]
     rows = read_bars(spark, wanted or listed, file_format, schema)
     tidy = tidy_symbol(F.col("symbol"))

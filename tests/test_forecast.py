@@ -1,4 +1,5 @@
 import math
+import random
 
 import numpy as np
 import pytest
@@ -185,3 +186,24 @@ def test_any_series_names(spark):
     df = series(spark, CURVE).select(F.col("symbol").alias("name"), F.col("date").cast("timestamp_ntz").alias("at"),
                                      F.col("close").cast("int").alias("v"))
     assert fc.forecast(df, series="name", ts="at", target="v").count() == 7
+
+
+@pytest.mark.parametrize("method", ["trend", "drift", "seasonal_naive", "holt"])
+def test_model_and_evaluation_come_from_one_pass(spark, method, tmp_path):
+    rng = random.Random(5)
+    data = closes(spark, [(s, f"2025-{1 + k // 28:02d}-{1 + k % 28:02d}", rng.random() * 9 if rng.random() < 0.9 else None)
+                          for s, n in (("A", 60), ("B", 17), ("C", 9), ("D", 2)) for k in range(n)])
+    data.write.parquet(str(tmp_path / "bars"))
+    data = spark.read.parquet(str(tmp_path / "bars"))
+    both = fc.fits(data, method, (0, 7), keyed=True)
+    assert exchanges(both) == 1
+    model, held = fc.model_of(both, method), fc.model_of(both, method, 7)
+    assert exchanges(fc.scores(held, method, 7)) == 1 and exchanges(fc.backtest(data, method, 7, keyed=True)) == 1
+
+    def rounded(df):
+        return rows(df.select(*[F.round(f.name, 9).alias(f.name) if f.dataType.typeName() == "double" else f.name
+                                for f in df.schema if f.name not in ("best", "held_out")]))
+
+    assert rounded(model) == rounded(fc.fit(data, method, keyed=True))
+    assert rounded(held) == rounded(fc.fit(data, method, holdout=7, keyed=True))
+    assert rounded(fc.scores(held, method, 7)) == rounded(fc.backtest(data, method, 7, keyed=True))

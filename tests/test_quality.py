@@ -1,9 +1,12 @@
+import random
+
 import pytest
 
 from helpers import GOLDEN_DELIVERY, bars, delivery, plan, rows
 from marketbars.operators import quality
 from marketbars.operators.clean import normalize
-from marketbars.operators.quality import Check
+from marketbars.operators.quality import MODEL_CHECKS, Check, distinct_report, report
+from marketbars.operators.staging import history_rows
 
 TAGGED = "k string, a string, tag string"
 
@@ -55,3 +58,29 @@ def test_duplicates_raise_with_their_keys(spark):
 def test_unknown_row_check(spark):
     with pytest.raises(ValueError):
         Check("unique", "k").fails()
+
+
+def test_report_of_distinct_rows_without_making_them(spark):
+    rng = random.Random(8)
+    nan = float("nan")
+    checks = MODEL_CHECKS["stg_market_data"]
+    for _ in range(6):
+        data = [(rng.choice(["A", "B", None]), rng.choice(["2025-01-01", "2025-01-02", None]),
+                 *[rng.choice([None, 1.0, 0.0, -0.0, nan]) for _ in range(4)], rng.choice([None, 5]))
+                for _ in range(rng.choice([0, 3, 12, 60]))]
+        staged = history_rows(bars(spark, data).where("true"))
+        # Rows without a date never reach the staging; here they must be counted.
+        whole = bars(spark, data).selectExpr("symbol", "date", "open", "volume",
+                                             "concat(symbol, '|', cast(date as string)) AS pk_symbol_date")
+        for frame in (staged, whole):
+            frame = frame.unionByName(frame)
+            assert rows(distinct_report(frame, checks)) == rows(report(frame.distinct(), checks))
+
+
+def test_distinct_report_takes_one_exchange_on_the_key(spark, tmp_path):
+    bars(spark, [("A", "2025-01-01", 1.0, 1.0, 1.0, 1.0, 1)]).write.parquet(str(tmp_path / "raw"))
+    staged = history_rows(spark.read.parquet(str(tmp_path / "raw")))
+    text = plan(distinct_report(staged, MODEL_CHECKS["stg_market_data"]))
+    assert text.count("Exchange hashpartitioning") == 1 and "SortAggregate" not in text
+    with pytest.raises(ValueError, match="parts"):
+        distinct_report(staged, [Check("unique", "pk_symbol_date"), Check("not_null", "close")])

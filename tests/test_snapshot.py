@@ -170,3 +170,96 @@ def test_other_keys_and_check_columns(spark):
     b = closes(spark, [("A", "2025-01-01", 2.0)]).select("symbol", "open")
     got = snapshot.changes(snapshot.initial(a, T1, ["symbol"]), b, ["symbol"], ["open"])
     assert rows(got) == [("A", "change")]
+
+
+def stored_side(df) -> str:
+    """The plan below the join, on the side that reads the stored versions."""
+    text = plan(df)
+    lines = text.splitlines()
+    at = next(i for i, line in enumerate(lines) if "market_data_snapshot_files" in line or "epoch" in line and "Scan" in line)
+    depth = lines[at].index("FileScan")
+    above = []
+    for line in reversed(lines[:at]):
+        indent = len(line) - len(line.lstrip(" +-:*()0123456789"))
+        if indent < depth:
+            above.append(line)
+            depth = indent
+        if "Join" in line:
+            break
+    return "\n".join(above)
+
+
+def test_stored_versions_are_joined_where_they_lie(spark, tmp_path):
+    from marketbars.sinks.history import next_versions
+
+    cfg = settings(tmp_path, "snap9")
+    ensure_tables(spark, cfg)
+    update_snapshot(spark, bars(spark, FIRST), cfg, T1)
+    update_snapshot(spark, bars(spark, SECOND), cfg, T2)
+    df = next_versions(spark.table(cfg.snapshot), bars(spark, SECOND), T3, cfg.buckets)
+    # Both the putting together of a version and the join use the buckets: the source alone moves.
+    assert "FullOuter" in plan(df) and exchanges(df) == 1
+    assert "HashAggregate" in stored_side(df) and "Exchange" not in stored_side(df)
+    assert exchanges(spark.table(cfg.snapshot)) == 0
+    assert "SortAggregate" not in plan(spark.table(cfg.snapshot))
+
+
+def test_of_two_writers_at_once_the_second_fails(spark, tmp_path, monkeypatch):
+    from marketbars.sinks import history
+
+    cfg = settings(tmp_path, "snap10")
+    ensure_tables(spark, cfg)
+    update_snapshot(spark, bars(spark, FIRST), cfg, T1)
+    failed = []
+    commit = history._commit
+
+    def meanwhile(*args):
+        """Another run starts when this one has written and not committed yet."""
+        if not failed:
+            failed.append(True)
+            with pytest.raises(history.ConcurrentRunError, match="release_claim"):
+                update_snapshot(spark, bars(spark, FIRST[:1]), cfg, T3)
+        return commit(*args)
+
+    monkeypatch.setattr(history, "_commit", meanwhile)
+    assert summary(update_snapshot(spark, bars(spark, SECOND), cfg, T2)) == GOLDEN
+    assert failed and current_run(spark, cfg.snapshot)[:2] == (1, 2)
+
+
+def test_a_failed_run_gives_its_claim_back(spark, tmp_path, monkeypatch):
+    from marketbars.sinks import history
+
+    cfg = settings(tmp_path, "snap11")
+    ensure_tables(spark, cfg)
+    update_snapshot(spark, bars(spark, FIRST), cfg, T1)
+    with monkeypatch.context() as broken:
+        broken.setattr(history, "_commit", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            update_snapshot(spark, bars(spark, SECOND), cfg, T2)
+    assert spark.table(cfg.snapshot).count() == 4
+    # What a lost driver has claimed stays claimed until it is given back.
+    history.claim(spark, cfg, 2)
+    with pytest.raises(history.ConcurrentRunError):
+        update_snapshot(spark, bars(spark, SECOND), cfg, T2)
+    history.release_claim(spark, cfg)
+    assert summary(update_snapshot(spark, bars(spark, SECOND), cfg, T2)) == GOLDEN
+
+
+def test_dead_epochs_are_no_longer_listed(spark, tmp_path):
+    from marketbars.sinks import history
+
+    cfg = settings(tmp_path, "snap12")
+    ensure_tables(spark, cfg)
+    update_snapshot(spark, bars(spark, FIRST), cfg, T1)
+    update_snapshot(spark, bars(spark, SECOND), cfg, T2)
+    compact(spark, cfg)
+    assert [r[0] for r in spark.sql(f"SHOW PARTITIONS {cfg.snapshot_files}").collect()] == ["epoch=3"]
+    assert summary(spark.table(cfg.snapshot)) == GOLDEN
+    assert all("epoch=3_" in f for f in spark.table(cfg.snapshot).inputFiles())
+    assert sorted(f.split("_")[0] for f in history.remove_dead(spark, cfg)) == ["epoch=1", "epoch=2"]
+    assert summary(update_snapshot(spark, bars(spark, [at("k2", 22.0, 200)]), cfg, T3))[-1][0] == "k5"
+    k2 = [r for r in summary(spark.table(cfg.snapshot)) if r[0] == "k2"]
+    assert [(r[1], r[3], r[4]) for r in k2] == [(20.0, T1, T2), (21.0, T2, T3), (22.0, T3, None)]
+    # Each epoch has at most one file a bucket.
+    files = [f for f in spark.table(cfg.snapshot_files).inputFiles() if "epoch=3_" in f]
+    assert len(files) <= cfg.buckets

@@ -159,3 +159,87 @@ def test_tied_ticks_follow_their_sequence(spark):
         "symbol string, ts string, n long, price double").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     row = daily_bars(ticks, sequence="n").first()
     assert (row["open"], row["close"]) == (10.0, 30.0)
+
+
+def test_ticks_by_sequence_hash_and_order_as_a_struct_does(spark, tmp_path):
+    """Packed order equals the order of (time, sequence), a null sequence first, for all integer types."""
+    times = ["1960-02-03 04:05:06.000007", "1970-01-01 00:00:00", "1970-01-01 00:00:00.000001",
+             "2025-03-30 02:30:00", "2025-03-30 03:30:00", "9999-12-31 23:59:59.999999"]
+    for kind in ("timestamp_ntz", "timestamp"):
+        for number, extremes in (("long", [-(1 << 63), (1 << 63) - 1]), ("int", [-(1 << 31), (1 << 31) - 1])):
+            data = [("A", t, q, float(i)) for i, (t, q) in enumerate(
+                (t, q) for t in times for q in [None, 0, 1, -1, *extremes])]
+            frame = spark.createDataFrame(data, f"symbol string, ts string, seq {number}, price double")
+            frame = frame.withColumn("ts", F.col("ts").cast(kind))
+            frame.write.mode("overwrite").parquet(str(tmp_path / "ticks"))
+            frame = spark.read.parquet(str(tmp_path / "ticks"))
+            got = daily_bars(frame, sequence="seq")
+            assert "HashAggregate" in plan(got) and "SortAggregate" not in plan(got)
+            order = F.struct("ts", "seq")
+            want = frame.groupBy("symbol", F.to_date("ts").alias("date")).agg(
+                F.min_by("price", order).alias("open"), F.max_by("price", order).alias("close"))
+            assert rows(got.select("symbol", "date", "open", "close")) == rows(want)
+
+
+def test_a_sequence_of_text_still_orders(spark):
+    frame = spark.createDataFrame([("A", moment("2025-01-01T09:00:00"), float(p), q) for p, q in ((3, "b"), (1, "c"), (2, "a"))],
+                                  "symbol string, ts timestamp_ntz, price double, seq string")
+    got = daily_bars(frame, sequence="seq").first()
+    assert (got["open"], got["close"]) == (2.0, 1.0)
+
+
+def test_wide_frames_of_thousands_of_symbols(spark):
+    import time
+
+    names = [f"S{k}" for k in range(5000)]
+    fields = ("Open", "High", "Low", "Close", "Adj", "Volume")
+    columns = ", ".join(f"CAST({k % 97} + id AS DOUBLE) AS `{f}|{s}`" for f in fields for k, s in enumerate(names))
+    frame = spark.sql(f"SELECT CAST(id AS STRING) AS Date, {columns} FROM range(2)")
+    start = time.time()
+    long = wide_to_long(frame)
+    planned = plan(long)
+    assert time.time() - start < 60 and "Exchange" not in planned
+    got = long.where("symbol IN ('S0', 'S4999')").collect()
+    assert {(r["Date"], r["symbol"], r["Open"], r["Volume"]) for r in got} == {
+        (str(d), s, float(k % 97 + d), float(k % 97 + d)) for d in (0, 1) for s, k in (("S0", 0), ("S4999", 4999))}
+    assert long.count() == 10_000
+
+
+def test_named_symbols_open_only_files_that_may_hold_them(spark, tmp_path):
+    from marketbars.sources import index_files, read_named, write_delivery
+
+    path = str(tmp_path / "delivered here")
+    data = bars(spark, [(f"s{k:03d} ", "2025-01-01", 1.0, float(k), 1.0, 1.0, 1) for k in range(400)])
+    assert write_delivery(data.repartitionByRange(16, "symbol"), path) == 16
+    named = read_named(spark, path, "S005, s390,none")
+    assert {r["symbol"] for r in named.collect()} == {"s005 ", "s390 "}
+    assert len(named.inputFiles()) == 2
+    # A file that was added without an entry is read until it is indexed.
+    bars(spark, [("S005", "2025-01-02", 1.0, 7.0, 1.0, 1.0, 1)]).coalesce(1).write.mode("append").parquet(path)
+    assert len(read_named(spark, path, ["s390"]).inputFiles()) == 2
+    assert read_named(spark, path, ["s005"]).count() == 2
+    assert index_files(spark, path) == 1 and index_files(spark, path) == 0
+    assert len(read_named(spark, path, ["s390"]).inputFiles()) == 1
+    nothing = read_named(spark, path, ["zzz"])
+    assert nothing.count() == 0 and nothing.columns == data.columns
+
+
+@pytest.mark.parametrize("file_format", ["csv", "json", "parquet"])
+def test_named_symbols_of_every_format(spark, tmp_path, file_format):
+    import random
+
+    from marketbars.sources import read_named, write_delivery
+
+    rng = random.Random(4)
+    source = delivery(spark, [("2025-01-01", f" {rng.choice('aBcDe')}{rng.randrange(300)}", "1", "1", "1", "1", "1")
+                              for _ in range(2000)] + [("2025-01-01", None, "1", "1", "1", "1", "1")])
+    source = source.select("symbol", "Date", "Open", "High", "Low", "Close", "Volume").repartition(9)
+    path = str(tmp_path / "d")
+    # Small filters answer falsely often, and lose nothing.
+    write_delivery(source, path, file_format, bits=128)
+    schema = source.schema
+    for names in (["A1", "e299"], ["B7"], ["nobody"]):
+        got = read_named(spark, path, names, file_format, schema)
+        want = source.where(F.upper(F.trim("symbol")).isin([n.upper() for n in names]))
+        # Text files are written without leading blanks.
+        assert rows(got.withColumn("symbol", F.trim("symbol"))) == rows(want.withColumn("symbol", F.trim("symbol")))
