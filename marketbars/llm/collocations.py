@@ -17,15 +17,20 @@ Phrases of 1 to ``longest`` words are counted per language, within pieces.
    vain: counts stay exact, and phrases below the threshold go when they are done.
    The tables have a fixed size whatever the corpus; a full one costs rows.
 3. A scan counts in runs of texts of at most ``RUN_BYTES``, or one longer text, so
-   that a phrase crosses the shuffle at most once per run, whatever its frequency.
-   Counts are added to those of earlier steps by language and phrase.
+   that a phrase crosses the shuffle at most once per task, whatever its frequency.
+   Most phrases that are counted stay rare, so they travel as numbers: the hash of
+   their first words but one and that of their last word, 128 bits in all. Counts are
+   added to those of earlier steps. Only words carry their text; a phrase that has
+   reached the threshold gets its own by joining that of its first words and that of
+   its last one, which have reached it too.
 4. A candidate is scored at its cuts by joining the counts of both parts, with
    38-digit integers. Each phrase's longer candidates are found from the longer side:
    a candidate of n words names its shorter parts, of which only the largest count
    is kept. Ranks are taken within ``SALTS`` parts of a language first, so no task
    sees all candidates of one.
 
-Within a run, phrases are told apart by 64 bits; between runs, by their text.
+Hashes of equal length and language are taken to be equal only for equal words: 128
+bits tell the phrases of a count apart, 64 bits those that have reached the threshold.
 
 Defined cases: null and empty texts have no words. A null language is ``und``.
 Repeated rows count each time. An empty table gives an empty result. Extra columns
@@ -38,7 +43,9 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,11 +56,11 @@ from marketbars.shared import run_dir, stored
 THRESHOLD = 100
 LONGEST = 5
 TOP = 2000
-SHARDS = 4
+SHARDS = 3
 #: Slots of the table of each length; a power of two.
 SLOTS = 1 << 22
 #: Bytes of text that are counted at a time.
-RUN_BYTES = 8 << 20
+RUN_BYTES = 4 << 20
 #: Parts of a language that are ranked apart first.
 SALTS = 64
 #: Languages up to which their totals are broadcast.
@@ -64,10 +71,11 @@ PIECE_ENDS = byte_class(*[(ord(c), ord(c)) for c in ".,;:!?"], (0x0A, 0x0D))
 WORD_BYTES = ~(PIECE_ENDS | byte_class((0x20, 0x20), (0x09, 0x09)))
 _NEVER = 255
 
-_COUNTS = "lang string, n int, phrase string, h long, act int, f long"
-_COUNTS_ARROW = pa.schema([("lang", pa.string()), ("n", pa.int32()), ("phrase", pa.string()),
-                           ("h", pa.int64()), ("act", pa.int32()), ("f", pa.int64())])
-_KEYS = ["lang", "n", "phrase", "h", "act"]
+#: ``word`` is a word and its language, with a blank between; longer phrases have none.
+_COUNTS = "n int, first long, last long, h long, act int, word string, f long"
+_COUNTS_ARROW = pa.schema([("n", pa.int32()), ("first", pa.int64()), ("last", pa.int64()), ("h", pa.int64()),
+                           ("act", pa.int32()), ("word", pa.string()), ("f", pa.int64())])
+_KEYS = ["n", "first", "last", "h", "act", "word"]
 
 
 def slots(h: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -89,7 +97,7 @@ def _gathered(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[
 
 
 class Run:
-    """The words of some texts: which are in one piece, their hashes, and their bytes with one blank after each."""
+    """The words of some texts: which are in one piece, and the hashes of phrases."""
 
     def __init__(self, table: pa.Table) -> None:
         langs = table.column("lang").combine_chunks().dictionary_encode()
@@ -102,9 +110,7 @@ class Run:
         # Both counts only grow, so their sum is equal only where both are.
         self.piece = ends[found.starts] + found.texts()
         self.hashes = found.hashes
-        sizes = found.ends - found.starts
-        self.bytes, self.at = _gathered(np.append(found.data, np.uint8(0x20)), found.starts, sizes + 1)
-        self.bytes[self.at[1:] - 1] = 0x20
+        self.found = found
         self._windows: dict[int, np.ndarray] = {}
 
     def windows(self, n: int) -> np.ndarray:
@@ -120,17 +126,27 @@ class Run:
 
     def counted(self, n: int, chosen: np.ndarray, act: np.ndarray | None) -> pa.RecordBatch:
         """One row per distinct phrase of n words among the chosen places."""
-        h, first, times = np.unique(self.windows(n)[chosen], return_index=True, return_counts=True)
-        first = chosen[first]
-        sizes = self.at[first + n] - 1 - self.at[first]
-        data, offsets = _gathered(self.bytes, self.at[first], sizes)
-        texts = pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(offsets), pa.py_buffer(data))
-        lang = pa.DictionaryArray.from_arrays(pa.array(self.lang[first], pa.int32()), self.langs)
-        steps = np.zeros(len(first), np.int32) if act is None else act[first].astype(np.int32)
+        h = self.windows(n)
+        codes, distinct = pd.factorize(h[chosen])
+        times = np.bincount(codes, minlength=len(distinct))
+        at = np.empty(len(distinct), np.int64)
+        at[codes] = chosen  # any place of a phrase stands for it
+        zeros = np.zeros(len(at), np.int64)
+        first = zeros if n == 1 else self.windows(n - 1)[at].view(np.int64)
+        steps = zeros if act is None else act[at]
         return pa.RecordBatch.from_arrays(
-            [lang.cast(pa.string()), pa.array(np.full(len(first), n, np.int32)), texts.cast(pa.string()),
-             pa.array(h.view(np.int64)), pa.array(steps), pa.array(times.astype(np.int64))],
-            schema=_COUNTS_ARROW)
+            [pa.array(np.full(len(at), n, np.int32)), pa.array(first),
+             pa.array(self.windows(1)[at + n - 1].view(np.int64)), pa.array(distinct.view(np.int64)),
+             pa.array(steps.astype(np.int32)), self._words(at) if n == 1 else pa.nulls(len(at), pa.string()),
+             pa.array(times.astype(np.int64))], schema=_COUNTS_ARROW)
+
+    def _words(self, at: np.ndarray) -> pa.Array:
+        """Words and their languages, as text."""
+        starts = self.found.starts[at]
+        data, offsets = _gathered(self.found.data, starts, self.found.ends[at] - starts)
+        texts = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(data))
+        langs = self.langs.take(pa.array(self.lang[at]))
+        return pc.binary_join_element_wise(texts.cast(pa.string()), langs.cast(pa.string()), " ")
 
 
 def _runs(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[Run]:
@@ -170,8 +186,12 @@ def _count(step: int, shards: int, lengths: list[int], tables, run_bytes: int):
     return count
 
 
-def _mark(tables: dict[int, np.ndarray], reached: DataFrame, step: int) -> None:
-    """Set the free slots of newly reached phrases; the driver gets at most one row per 64 slots."""
+def _mark(tables: dict[int, np.ndarray], reached: DataFrame, step: int) -> set[int]:
+    """Set the free slots of newly reached phrases; their lengths.
+
+    The driver gets at most one row per length and 64 slots.
+    """
+    lengths = set()
     size = len(tables[1])
     bits = size.bit_length() - 1
     h = F.col("h")
@@ -186,6 +206,8 @@ def _mark(tables: dict[int, np.ndarray], reached: DataFrame, step: int) -> None:
         row = table[at]
         row[new & (row == _NEVER)] = step
         table[at] = row
+        lengths.add(int(n))
+    return lengths
 
 
 def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST,
@@ -225,18 +247,36 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int =
         state = stored(total, f"counts-{step}")
         known.destroy()
         if step == shards - 1:
-            totals = state.where("n = 1").groupBy("lang").agg(F.sum("f").alias("words"))
+            lang = F.expr("substring(word, instr(word, ' ') + 1)").alias("lang")
+            totals = state.where("n = 1").groupBy(lang).agg(F.sum("f").alias("words"))
         new = state.where((F.col("reached") == step + 1) & (F.col("n") < longest))
-        for n, in new.select("n").distinct().collect():
+        for n in _mark(tables, new, step + 1):
             steps[n].add(step + 1)
-        _mark(tables, new, step + 1)
         ended = (F.col("act") + shards == step + 1) & F.col("reached").isNotNull()
-        done.append(state.where(ended).select("lang", "n", "phrase", "f"))
+        done.append(state.where(ended).drop("act", "reached"))
         step += 1
-    found = done[0]
-    for part in done[1:]:
+    return stored(_named(stored(_all(done), "frequent"), longest), "phrases"), stored(totals, "totals")
+
+
+def _all(parts: list[DataFrame]) -> DataFrame:
+    found = parts[0]
+    for part in parts[1:]:
         found = found.unionByName(part)
-    return stored(found, "frequent"), stored(totals, "totals")
+    return found
+
+
+def _named(frequent: DataFrame, longest: int) -> DataFrame:
+    """Frequent phrases with their language and text, length by length (lang, n, phrase, f)."""
+    named = [frequent.where("n = 1").select(
+        "n", "h", F.expr("substring(word, instr(word, ' ') + 1)").alias("lang"),
+        F.expr("substring(word, 1, instr(word, ' ') - 1)").alias("phrase"), "f")]
+    ends = named[0].select(F.col("h").alias("last"), F.col("phrase").alias("_end"))
+    for n in range(2, longest + 1):
+        starts = named[-1].select(F.col("h").alias("first"), "lang", F.col("phrase").alias("_start"))
+        part = frequent.where(F.col("n") == n).drop("word").join(starts, "first").join(ends, "last")
+        part = part.select("n", "h", "lang", F.concat_ws(" ", "_start", "_end").alias("phrase"), "f")
+        named.append(stored(part, f"phrases-{n}") if n < longest else part)
+    return _all(named).select("lang", "n", "phrase", "f")
 
 
 def scored(frequent: DataFrame, totals: DataFrame) -> DataFrame:
