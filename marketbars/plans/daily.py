@@ -39,11 +39,22 @@ from marketbars.sinks.tables import (
     publish,
     retain,
 )
-from marketbars.sources import in_universe, lookback, missing_symbols
+from marketbars.sources import in_universe, lookback, missing_symbols, read_bars, read_named
 
 log = logging.getLogger(__name__)
 
 
+def read_delivery(spark: SparkSession, path: str, cfg: Settings, file_format: str = "parquet") -> DataFrame:
+    """A delivery folder as ``run_ingest`` takes it.
+
+    Where the settings name symbols, files that hold none of them are not opened (see
+    ``sources.delivered``); counts per symbol then cover the named symbols only.
+    """
+    if cfg.symbols is None:
+        return read_bars(spark, path, file_format)
+    return read_named(spark, path, cfg.symbols, file_format)
+
+
 def run_ingest(spark: SparkSession, incoming: DataFrame, cfg: Settings) -> dict[str, int]:
     """Incoming bars to the stage, then the raw table refreshed from it.
 

@@ -86,7 +86,7 @@ def refresh_touched(rows: DataFrame, table: str, location: str, day: str = "date
     columns = rows.columns
     touched = [m for m in months(rows, day) if first is None or m >= first]
     before = None
-    if held and not held[1]:
+    if not (held and held[1]) and spark.catalog.tableExists(table):
         before = spark.table(table).select(*columns).withColumn(MONTH, month)
         touched = sorted({*touched, *months(before, day)})
     elif held and (again := [m for m in touched if str(m) in held[1]]):

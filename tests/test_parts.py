@@ -99,6 +99,12 @@ def test_months_before_the_first_leave_and_a_whole_table_is_taken_over(spark, tm
     refresh_touched(closes(spark, [("A", "2025-06-10", 3.0), ("A", "2025-01-10", 9.0)]), cfg.raw, place, first=202504)
     got = {(str(r["date"]), r["close"]) for r in spark.table(cfg.raw).collect()}
     assert got == {("2025-04-10", 1.0), ("2025-05-10", 2.0), ("2025-06-10", 3.0)}
+    # A table from before there were versions is taken over too.
+    data = closes(spark, [("A", "2025-01-10", 1.0), ("A", "2025-02-10", 1.0)])
+    data.write.parquet(cfg.location("analytics", "old"))
+    spark.sql(f"CREATE TABLE {cfg.final} USING parquet LOCATION '{cfg.location('analytics', 'old')}'")
+    refresh_touched(closes(spark, [("A", "2025-02-10", 2.0)]), cfg.final, cfg.location("analytics", "market_data"))
+    assert {r["close"] for r in spark.table(cfg.final).collect()} == {1.0, 2.0}
     # And back: a whole refresh replaces the parts.
     publish(whole, cfg.raw, place)
     assert rows(spark.table(cfg.raw)) == rows(whole) and current_version(spark, cfg.raw)[1] == {}
@@ -304,6 +310,20 @@ def test_blocks_before_the_look_back_leave_whole(spark, tmp_path):
         numbers(models(fit(kept, keyed=True)))["A"])
 
 
+def test_ingest_of_named_symbols_opens_their_files_only(spark, tmp_path):
+    from marketbars.sources import write_delivery
+
+    path = str(tmp_path / "delivered")
+    incoming = price_delivery(spark, range(20), tuple(f"s{k:02d}" for k in range(40)))
+    incoming = incoming.select("symbol", "Date", "Open", "High", "Low", "Close", "Volume")
+    assert write_delivery(incoming.repartitionByRange(8, "symbol"), path, "csv") == 8
+    cfg = settings(tmp_path, "n1", symbols=("S03", "S38"))
+    found = daily.read_delivery(spark, path, cfg, "csv")
+    assert len(found.inputFiles()) == 2
+    assert run_ingest(spark, found, cfg)["total_rows"] == 40
+    assert len(daily.read_delivery(spark, path, settings(tmp_path, "n2"), "csv").inputFiles()) == 8
+
+
 def test_month_numbers():
     assert month_number(day("2025-03-31")) == 202503
     assert daily._months_between(day("2024-11-30"), day("2025-02-01")) == [(2024, 11), (2024, 12), (2025, 1), (2025, 2)]
