@@ -19,10 +19,11 @@ Phrases of 1 to ``longest`` words are counted per language, within pieces.
 3. A scan counts in runs of texts of at most ``RUN_BYTES``, or one longer text, so
    that a phrase crosses the shuffle at most once per task, whatever its frequency.
    Most phrases that are counted stay rare, so they travel as numbers: the hash of
-   their first words but one and that of their last word, 128 bits in all. Counts are
-   added to those of earlier steps. Only words carry their text; a phrase that has
-   reached the threshold gets its own by joining that of its first words and that of
-   its last one, which have reached it too.
+   their first words but one and that of their last word, 128 bits in all. The counts
+   of all steps lie in one table, bucketed by phrase, so they cross once and are added
+   up where they lie. Only words carry their text; a phrase that has reached the
+   threshold gets its own by joining that of its first words and that of its last
+   one, which have reached it too.
 4. A candidate is scored at its cuts by joining the counts of both parts, with
    38-digit integers. Each phrase's longer candidates are found from the longer side:
    a candidate of n words names its shorter parts, of which only the largest count
@@ -40,18 +41,21 @@ are not read. Words are taken from whole texts, however long.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketbars.llm.frames import broadcast_if_small, small_batches
-from marketbars.llm.words import byte_class, mix, pieces, window_hashes, words
+from marketbars.llm.words import byte_class, mix, pieces, words
 from marketbars.shared import run_dir, stored
+from marketbars.sinks import files
 
 THRESHOLD = 100
 LONGEST = 5
@@ -72,10 +76,14 @@ WORD_BYTES = ~(PIECE_ENDS | byte_class((0x20, 0x20), (0x09, 0x09)))
 _NEVER = 255
 
 #: ``word`` is a word and its language, with a blank between; longer phrases have none.
-_COUNTS = "n int, first long, last long, h long, act int, word string, f long"
-_COUNTS_ARROW = pa.schema([("n", pa.int32()), ("first", pa.int64()), ("last", pa.int64()), ("h", pa.int64()),
+_COUNTS = "n int, first long, last long, act int, word string, f long"
+_COUNTS_ARROW = pa.schema([("n", pa.int32()), ("first", pa.int64()), ("last", pa.int64()),
                            ("act", pa.int32()), ("word", pa.string()), ("f", pa.int64())])
-_KEYS = ["n", "first", "last", "h", "act", "word"]
+_KEYS = ["n", "first", "last", "act", "word"]
+
+#: The constants of the 64-bit xxHash.
+_P1, _P2, _P3, _P4, _P5 = map(np.uint64, (
+    0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
 
 
 def slots(h: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -84,6 +92,25 @@ def slots(h: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return (h >> np.uint64(64 - bits)).astype(np.int64), (h & np.uint64(size - 1)).astype(np.int64)
 
 
+def _rotated(x: np.ndarray, bits: int) -> np.ndarray:
+    return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
+
+
+def hash_longs(*columns: np.ndarray) -> np.ndarray:
+    """Spark's ``xxhash64`` of columns of longs."""
+    h = np.full(len(columns[0]), 42, np.uint64)
+    for values in columns:
+        h = h + (_P5 + np.uint64(8))
+        h ^= _rotated(values * _P2, 31) * _P1
+        h = _rotated(h, 27) * _P1 + _P4
+        h ^= h >> np.uint64(33)
+        h *= _P2
+        h ^= h >> np.uint64(29)
+        h *= _P3
+        h ^= h >> np.uint64(32)
+    return h
+
+
 def _salt(lang: str) -> int:
     return int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little")
 
@@ -116,8 +143,11 @@ class Run:
     def windows(self, n: int) -> np.ndarray:
         """The hash of the n words from each word on, language included."""
         if n not in self._windows:
-            found = window_hashes(self.hashes, n)
-            self._windows[n] = mix(found ^ self.salts[:len(found)])
+            if n == 1:
+                self._windows[n] = mix(self.hashes ^ self.salts)
+            else:
+                size = max(len(self.hashes) - n + 1, 0)
+                self._windows[n] = hash_longs(self.windows(n - 1)[:size], self.windows(1)[n - 1:])
         return self._windows[n]
 
     def whole(self, n: int) -> np.ndarray:
@@ -136,8 +166,7 @@ class Run:
         steps = zeros if act is None else act[at]
         return pa.RecordBatch.from_arrays(
             [pa.array(np.full(len(at), n, np.int32)), pa.array(first),
-             pa.array(self.windows(1)[at + n - 1].view(np.int64)), pa.array(distinct.view(np.int64)),
-             pa.array(steps.astype(np.int32)), self._words(at) if n == 1 else pa.nulls(len(at), pa.string()),
+             pa.array(self.windows(1)[at + n - 1].view(np.int64)), pa.array(steps.astype(np.int32)), self._words(at) if n == 1 else pa.nulls(len(at), pa.string()),
              pa.array(times.astype(np.int64))], schema=_COUNTS_ARROW)
 
     def _words(self, at: np.ndarray) -> pa.Array:
@@ -186,8 +215,13 @@ def _count(step: int, shards: int, lengths: list[int], tables, run_bytes: int):
     return count
 
 
+def _hash() -> Column:
+    """The hash of a counted phrase, as scans know it."""
+    return F.when(F.col("n") == 1, F.col("last")).otherwise(F.xxhash64("first", "last"))
+
+
 def _mark(tables: dict[int, np.ndarray], reached: DataFrame, step: int) -> set[int]:
-    """Set the free slots of newly reached phrases; their lengths.
+    """Set the free slots of reached phrases; the lengths of which there were any.
 
     The driver gets at most one row per length and 64 slots.
     """
@@ -202,14 +236,30 @@ def _mark(tables: dict[int, np.ndarray], reached: DataFrame, step: int) -> set[i
     for n, part in groups.toPandas().groupby("n"):
         at, mask = part["word"].to_numpy(np.int64), part["bits"].to_numpy(np.int64).astype(np.uint64)
         table = tables[int(n)].reshape(-1, 64)
-        new = (mask[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1) == 1
         row = table[at]
-        row[new & (row == _NEVER)] = step
+        new = (mask[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1) == 1
+        new &= row == _NEVER
+        row[new] = step
         table[at] = row
-        lengths.add(int(n))
+        if new.any():
+            lengths.add(int(n))
     return lengths
 
 
+@contextmanager
+def _count_table(spark: SparkSession) -> Iterator[str]:
+    """A table of counts by step, bucketed by phrase, for the length of a ``with`` block."""
+    name, folder = f"phrase_counts_{uuid.uuid4().hex[:12]}", run_dir(spark, "phrase-counts")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.sql(f"CREATE TABLE {name} ({_COUNTS}, step int) USING parquet PARTITIONED BY (step) "
+              f"CLUSTERED BY ({', '.join(_KEYS)}) INTO {buckets} BUCKETS LOCATION '{folder}'")
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+        files.remove(spark, folder)
+
+
 def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST,
                      shards: int = SHARDS, text: str = "text", lang: str = "lang",
                      slot_count: int = SLOTS, run_bytes: int = RUN_BYTES) -> tuple[DataFrame, DataFrame]:
@@ -226,36 +276,34 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int =
 
     tables = {n: np.full(slot_count, _NEVER, np.uint8) for n in range(1, longest)}
     steps: dict[int, set[int]] = {n: set() for n in tables}
-    state, done, totals, step = None, [], None, 0
-    while True:
-        lengths = [1] if step < shards else []
-        lengths += [n + 1 for n in tables if any(step - shards < s for s in steps[n])]
-        if not lengths:
-            break
-        known = spark.sparkContext.broadcast({n - 1: tables[n - 1] for n in lengths if n > 1})
-        shard = rows.where(F.col("shard") == step % shards).select("lang", "text")
-        counts = shard.mapInArrow(_count(step, shards, lengths, known, run_bytes), _COUNTS)
-        counts = counts.withColumn("reached", F.lit(None).cast("int"))
-        if state is not None:
-            counts = counts.unionByName(state.where(F.col("act") + shards > step))
-        total = counts.groupBy(*_KEYS).agg(F.sum("f").alias("f"), F.min("reached").alias("reached"))
-        reached = F.coalesce("reached", F.when(F.col("f") >= threshold, step + 1))
-        total = total.withColumn("reached", reached)
-        # Words are needed once more when their cycle ends, for the totals.
-        open_still = (F.col("act") + shards > step + 1) | (F.col("n") == 1)
-        total = total.where(F.col("reached").isNotNull() | open_still)
-        state = stored(total, f"counts-{step}")
-        known.destroy()
-        if step == shards - 1:
-            lang = F.expr("substring(word, instr(word, ' ') + 1)").alias("lang")
-            totals = state.where("n = 1").groupBy(lang).agg(F.sum("f").alias("words"))
-        new = state.where((F.col("reached") == step + 1) & (F.col("n") < longest))
-        for n in _mark(tables, new, step + 1):
-            steps[n].add(step + 1)
-        ended = (F.col("act") + shards == step + 1) & F.col("reached").isNotNull()
-        done.append(state.where(ended).drop("act", "reached"))
-        step += 1
-    return stored(_named(stored(_all(done), "frequent"), longest), "phrases"), stored(totals, "totals")
+    step = 0
+    with _count_table(spark) as counted:
+        while True:
+            lengths = [1] if step < shards else []
+            lengths += [n + 1 for n in tables if any(step - shards < s for s in steps[n])]
+            if not lengths:
+                break
+            known = spark.sparkContext.broadcast({n - 1: tables[n - 1] for n in lengths if n > 1})
+            shard = rows.where(F.col("shard") == step % shards).select("lang", "text")
+            counts = shard.mapInArrow(_count(step, shards, lengths, known, run_bytes), _COUNTS)
+            counts = counts.groupBy(*_KEYS).agg(F.sum("f").alias("f"))
+            counts.withColumn("step", F.lit(step)).write.insertInto(counted)
+            known.destroy()
+            # Only phrases that this step counted can have reached the threshold in it.
+            still = spark.table(counted).where((F.col("step") > step - shards) & (F.col("act") > step - shards)
+                                               & (F.col("n") < longest))
+            total = still.groupBy(*_KEYS).agg(F.sum("f").alias("f")).where(F.col("f") >= threshold)
+            for n in _mark(tables, total.select("n", _hash().alias("h")), step + 1):
+                steps[n].add(step + 1)
+            step += 1
+        total = spark.table(counted).groupBy(*_KEYS).agg(F.sum("f").alias("f"))
+        frequent = stored(total.where(F.col("f") >= threshold).select(
+            "n", "first", "last", _hash().alias("h"), "word", "f"), "frequent")
+        words_of = F.expr("substring(word, instr(word, ' ') + 1)").alias("lang")
+        totals = spark.table(counted).where("n = 1").groupBy(words_of).agg(F.sum("f").alias("words"))
+        totals = stored(totals, "totals")
+    files.remove(spark, folder)
+    return stored(_named(frequent, longest), "phrases"), totals
 
 
 def _all(parts: list[DataFrame]) -> DataFrame:

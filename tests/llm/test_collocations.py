@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from marketbars.llm import collocations
 
@@ -102,6 +103,22 @@ def test_table_slots_keep_the_first_step(spark):
     assert (one[0], two[0]) == (5, 9)
 
 
+def test_hashes_are_those_of_spark(spark):
+    values = [(0, 1), (-1, 1 << 62), (42, -(1 << 63)), ((1 << 63) - 1, 7)]
+    frame = spark.createDataFrame(values, "a long, b long").select(F.xxhash64("a", "b").alias("h"))
+    a, b = np.array(values, np.int64).T
+    found = collocations.hash_longs(a.astype(np.uint64), b.astype(np.uint64)).view(np.int64)
+    assert [r.h for r in frame.collect()] == found.tolist()
+
+
+def test_counts_are_added_up_without_an_exchange(spark):
+    with collocations._count_table(spark) as name:
+        spark.createDataFrame([(2, 1, 2, 0, None, 5, 0)], f"{collocations._COUNTS}, step int").write.insertInto(name)
+        plan = spark.table(name).groupBy(*collocations._KEYS).agg(F.sum("f"))._jdf.queryExecution()
+        assert "Exchange" not in plan.executedPlan().toString()
+    assert not spark.catalog.tableExists(name)
+
+
 def test_defined_cases(spark, documents):
     frame = documents([*AWKWARD, (10, "a b " * 2500), (11, None)])
     got = sorted(map(tuple, collocations.collocations(frame, threshold=2, slot_count=256).collect()))
