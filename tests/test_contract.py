@@ -42,9 +42,11 @@ def test_bench_prints_one_json_line(spark, capsys, monkeypatch):
     monkeypatch.setenv("BENCH_SF_DIR", SF)
     monkeypatch.setenv("BENCH_RUNS", "1")
     monkeypatch.setattr(bench, "HEADLINE", ("daily_bars",))
+    monkeypatch.setattr(bench, "TRAINING", ("clean_counts",))
     monkeypatch.setattr(bench, "local_session", lambda *_: spark)
     monkeypatch.setattr(spark, "stop", lambda: None)
     bench.main()
     line = json.loads(capsys.readouterr().out)
     assert set(line) >= {"metric", "value", "unit", "queries", "sf"}
+    assert line["training_data_queries"]["clean_counts"] >= 0
     assert line["sf"] == "0.001" and line["queries"]["daily_bars"] >= 0
