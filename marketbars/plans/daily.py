@@ -28,12 +28,13 @@ from marketbars.operators.quality import (
 from marketbars.operators.staging import forecast_rows, history_rows
 from marketbars.settings import Settings
 from marketbars.shared import scratch
-from marketbars.sinks.history import remove_dead, update_snapshot
+from marketbars.sinks.history import remove_dead, source_parts, update_snapshot
 from marketbars.sinks.parts import in_parts, month_number, refresh_touched, replace_parts
 from marketbars.sinks.tables import (
     append,
     create_staging_views,
     create_train_view,
+    current_version,
     empty_table,
     ensure_tables,
     publish,
@@ -165,11 +166,24 @@ def mart_from(raw: DataFrame, final: DataFrame, strict: bool = False, ranges: bo
     return mart_stock_analysis(history_rows(raw), forecast_rows(final, strict), ranges)
 
 
+def changed_months(spark: SparkSession, cfg: Settings) -> list[int]:
+    """The months of raw that were written since the snapshot last read them."""
+    _, parts = current_version(spark, cfg.raw)
+    seen = source_parts(spark, cfg.snapshot)
+    return sorted(int(m) for m, run in parts.items() if seen.get(m) != run)
+
+
 def run_publish(spark: SparkSession, cfg: Settings, as_of: datetime) -> DataFrame:
     """Snapshot, mart, then every check of the staging tables and the mart."""
     raw, final = spark.table(cfg.raw), spark.table(cfg.final)
     # The ingest has checked that keys are unique, and has dealt the whole table by key.
-    update_snapshot(spark, raw, cfg, as_of, checked=True, dealt=cfg.refresh == "full")
+    if cfg.refresh == "touched":
+        _, parts = current_version(spark, cfg.raw)
+        changed = changed_months(spark, cfg)
+        update_snapshot(spark, in_parts(spark, cfg.raw, changed).select(*raw.columns), cfg, as_of, checked=True,
+                        parts=parts)
+    else:
+        update_snapshot(spark, raw, cfg, as_of, checked=True, dealt=True)
     publish(
         mart_from(raw, final, cfg.strict_forecast, ranges=True),
         cfg.mart,

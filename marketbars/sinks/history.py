@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from datetime import datetime
 from functools import reduce
 from operator import or_
@@ -41,7 +41,7 @@ from marketbars.settings import Settings, quoted
 from marketbars.sinks import files
 from marketbars.sinks.tables import counted, ddl, require_rows
 
-EPOCHS, MOMENT = "marketbars.epochs", "marketbars.moment"
+EPOCHS, MOMENT, SOURCE = "marketbars.epochs", "marketbars.moment", "marketbars.source"
 
 
 class ConcurrentRunError(RuntimeError):
@@ -61,6 +61,14 @@ def live_epochs(spark: SparkSession, view: str) -> tuple[dict[int, str], str] |
     return {int(e): folder for e, folder in json.loads(found[EPOCHS]).items()}, found[MOMENT]
 
 
+def source_parts(spark: SparkSession, view: str) -> dict[str, str]:
+    """The runs of the parts that the source had when the snapshot last read it; none if it was read whole."""
+    if not spark.catalog.tableExists(view):
+        return {}
+    found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {view}").collect()}
+    return json.loads(found.get(SOURCE, "{}"))
+
+
 def current_run(spark: SparkSession, view: str) -> tuple[int, int, str] | None:
     """First and last epoch that count, and the moment of the last."""
     last = live_epochs(spark, view)
@@ -90,12 +98,16 @@ def next_versions(held: DataFrame, source: DataFrame, as_of: datetime, buckets:
 def update_snapshot(
     spark: SparkSession, source: DataFrame, cfg: Settings, as_of: datetime, checked: bool = False,
     dealt: bool = False,
+    parts: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Bring the stored snapshot up to ``source`` as seen at ``as_of``.
 
     The same moment over an unchanged source changes nothing, so a run that
     failed later on can be repeated. ``checked`` says that keys are known to be
     unique, ``dealt`` that the source is a table in ``cfg.buckets`` buckets by key.
+    A key that the source does not hold stays as it is, so of a source kept in parts
+    it is enough to give those that have changed; ``parts`` are then kept for the
+    next run to tell which those are.
     """
     last, moment = live_epochs(spark, cfg.snapshot), run_name(as_of)
     if last is not None and moment < last[1]:
@@ -127,17 +139,18 @@ def update_snapshot(
     if last is not None or not dealt:
         rows = rows.repartition(cfg.buckets, *KEYS)
     _write_epoch(spark, cfg, rows, epoch, last is not None, lambda folder: _commit(
-        spark, cfg, versions.columns, epochs | {epoch: folder}, moment))
+        spark, cfg, versions.columns, epochs | {epoch: folder}, moment, parts or {}))
     return spark.table(cfg.snapshot)
 
 
 def compact(spark: SparkSession, cfg: Settings) -> DataFrame:
     """Write the whole history as one epoch, and read from there on."""
     epochs, moment = live_epochs(spark, cfg.snapshot)
+    parts = source_parts(spark, cfg.snapshot)
     history = spark.table(cfg.snapshot)
     epoch = max(epochs) + 1
     _write_epoch(spark, cfg, history.repartition(cfg.buckets, *KEYS), epoch, False, lambda folder: _commit(
-        spark, cfg, history.columns, {epoch: folder}, moment))
+        spark, cfg, history.columns, {epoch: folder}, moment, parts))
     dead = ", ".join(f"PARTITION (epoch = {e})" for e in epochs)
     spark.sql(f"ALTER TABLE {cfg.snapshot_files} DROP IF EXISTS {dead}")
     return spark.table(cfg.snapshot)
@@ -202,12 +215,13 @@ def _write_epoch(spark: SparkSession, cfg: Settings, rows: DataFrame, epoch: int
 
 
 def _commit(spark: SparkSession, cfg: Settings, columns: list[str], epochs: dict[int, str],
-            moment: str) -> None:
+            moment: str, parts: Mapping[str, str]) -> None:
     identity = (*KEYS, "scd_id")
     names = ", ".join(quoted(n) if n in identity else f"max({quoted(n)}) AS {quoted(n)}" for n in columns)
     listed = ", ".join(map(str, epochs))
     spark.sql(
         f"CREATE OR REPLACE VIEW {cfg.snapshot} "
-        f"TBLPROPERTIES ('{EPOCHS}' = '{json.dumps(epochs)}', '{MOMENT}' = '{moment}') AS "
+        f"TBLPROPERTIES ('{EPOCHS}' = '{json.dumps(epochs)}', '{MOMENT}' = '{moment}', "
+        f"'{SOURCE}' = '{json.dumps(dict(parts))}') AS "
         f"SELECT {names} FROM {cfg.snapshot_files} WHERE epoch IN ({listed}) "
         f"GROUP BY {', '.join(map(quoted, identity))}")

@@ -4,6 +4,7 @@ import random
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import GOLDEN_RAW, bars, closes, day, delivery, moment, rows
 from marketbars.operators.blocks import BLOCK, block_number, block_span, block_stats, merge_blocks
@@ -277,6 +278,39 @@ def test_daily_run_on_touched_months(spark, tmp_path, monkeypatch):
         assert spark.table(getattr(cfg, name)).count() == spark.table(getattr(whole, name)).count()
 
 
+def test_the_snapshot_reads_changed_months_only(spark, tmp_path, monkeypatch):
+    """Three deliveries on touched months give the snapshot of three whole ones."""
+    spans = (range(60), range(50, 75), range(75, 90))
+    whole, cfg = settings(tmp_path, "h1", refresh="full"), settings(tmp_path, "h2", block_days=10)
+    read, plain = [], daily.update_snapshot
+
+    def watched(spark, source, *args, **kwargs):
+        read.append({f.split("month=")[1][:6] for f in source.inputFiles()} if "parts" in kwargs else None)
+        return plain(spark, source, *args, **kwargs)
+
+    monkeypatch.setattr(daily, "update_snapshot", watched)
+
+    def restated(span, k):
+        return price_delivery(spark, span).withColumn("Close", F.expr(f"cast(Close + {k} as string)"))
+
+    for k, span in enumerate(spans):
+        at = moment(f"2025-05-{k + 1:02d}")
+        run_ingest(spark, restated(span, k), cfg)
+        run_forecast(spark, cfg)
+        assert rows(run_publish(spark, cfg, at)) is not None
+        # The whole run delivers what the touched one has gathered.
+        run_ingest(spark, spark.table(cfg.raw).withColumnRenamed("date", "Date"), whole)
+        run_forecast(spark, whole)
+        run_publish(spark, whole, at)
+        assert rows(spark.table(cfg.snapshot)) == rows(spark.table(whole.snapshot))
+    assert [r for r in read if r is not None] == [
+        {"202501", "202502", "202503"}, {"202502", "202503"}, {"202503"}]
+    assert daily.changed_months(spark, cfg) == []
+    held = rows(spark.table(cfg.snapshot))
+    run_publish(spark, cfg, at)
+    assert rows(spark.table(cfg.snapshot)) == held
+
+
 def test_daily_runs_leave_a_bounded_number_of_folders(spark, tmp_path):
     cfg = settings(tmp_path, "b4", block_days=10)
     left = []
