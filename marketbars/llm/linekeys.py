@@ -1,0 +1,269 @@
+"""Shared window keys of lines, and edit distances of line pairs, in NumPy.
+
+Most keys that lines enter in the segment-partition join meet no other line's, so they
+are dropped before any row is made of them. A task takes its lines in packets. Of a
+packet's keys it sends 32 bits of each, sorted by bucket, and the number of the line
+within the packet; buckets then find the keys of more than one line. A key that a
+packet holds for several lines already is known to be shared: its lines go on directly
+and only the key is sent to its bucket, so a bucket holds at most one entry per key and
+packet, however many lines share it. Keys that agree in bucket and 32 bits by chance
+make pairs that verification drops; none is lost.
+
+Distances are decided by the banded automaton of ``lines.within``: one register of
+2*errors+1 bits per number of errors, for many pairs at a time.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from marketbars.llm.frames import blocks_for, small_batches
+from marketbars.llm.words import MASK, mix
+from marketbars.shared import stored
+
+#: Lines of a packet, which 16 bits number, and characters from which it is closed.
+PACKET_LINES = 1 << 15
+PACKET_CHARS = 4 << 20
+#: Keys of a bucket, about; a line enters about one key for every six characters.
+BUCKET_KEYS = 1 << 20
+CHARS_PER_KEY = 6
+#: Pairs that are verified at a time, and characters of the longest line times pairs.
+PAIRS = 1 << 11
+PAIR_CHARS = 1 << 21
+
+_BASE = 0x9E3779B97F4A7C15
+_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
+_CLASS, _SEGMENT = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
+_COUNT, _DIRECT, _NAMES = 0, 1, 2
+
+_PACKED = "kind int, bucket long, packet long, keys binary, lines binary, more binary"
+_PACKED_ARROW = pa.schema([("kind", pa.int32()), ("bucket", pa.int64()), ("packet", pa.int64()),
+                           ("keys", pa.binary()), ("lines", pa.binary()), ("more", pa.binary())])
+_FOUND = "kind int, key long, packet long, line int, line_key long"
+_FOUND_ARROW = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("packet", pa.int64()),
+                          ("line", pa.int32()), ("line_key", pa.int64())])
+
+#: By class of a line: the windows it enters, as (reach, low, side, segment, at, wide).
+Windows = dict[int, np.ndarray]
+
+
+def code_points(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The characters of all texts, end to end, and each text's offsets."""
+    sizes = pc.utf8_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
+    text = "".join(column.to_pylist())
+    offsets = np.zeros(len(sizes) + 1, np.int64)
+    np.cumsum(sizes, out=offsets[1:])
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), offsets
+
+
+def keys_of(column: pa.Array, windows: Windows, class_of: Callable[[int], int]) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of all lines and the number of the line each is of; the last bit of a key is its side."""
+    chars, offsets = code_points(column)
+    powers = np.full(len(chars) + 1, _BASE, np.uint64)
+    inverse = np.full(len(chars) + 1, _BASE_INVERSE, np.uint64)
+    powers[0] = inverse[0] = 1
+    np.multiply.accumulate(powers, out=powers)
+    np.multiply.accumulate(inverse, out=inverse)
+    sums = np.zeros(len(chars) + 1, np.uint64)
+    np.cumsum((chars.astype(np.uint64) + np.uint64(1)) * powers[:-1], out=sums[1:])
+    sizes = np.diff(offsets)
+    distinct, codes = np.unique(sizes, return_inverse=True)
+    classes = np.array([class_of(int(s)) for s in distinct], np.int64)[codes]
+    keys, lines = [], []
+    for one in np.unique(classes).tolist():
+        reach, low, side, segment, at, wide = windows[one]
+        mine = np.flatnonzero(classes == one)
+        size = sizes[mine][:, None]
+        line, k = np.nonzero((size <= reach) & (at + wide <= size))
+        line = mine[line]
+        start = offsets[line] + np.where(side[k] == 0, at[k], sizes[line] - at[k] - wide[k])
+        value = (sums[start + wide[k]] - sums[start]) * inverse[start]
+        value ^= low[k].astype(np.uint64) * _CLASS + segment[k].astype(np.uint64) * _SEGMENT
+        keys.append((mix(value) & np.uint64(MASK - 1)) | side[k].astype(np.uint64))
+        lines.append(line)
+    if not keys:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.concatenate(keys), np.concatenate(lines)
+
+
+def _split(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """A key's bucket, which its side is part of, and the 32 bits that are sent."""
+    bucket = (keys >> np.uint64(33)) % np.uint64(buckets)
+    return ((bucket << np.uint64(1)) | (keys & np.uint64(1))).astype(np.int64), (
+        (keys >> np.uint64(1)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+
+
+def _joined(bucket: np.ndarray | int, rest: np.ndarray) -> np.ndarray:
+    """The key that stands for a bucket and 32 bits; its last bit is the side."""
+    return ((np.int64(bucket) >> 1) << 33) | (rest.astype(np.int64) << 1) | (np.int64(bucket) & 1)
+
+
+def _packets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    held, lines, chars = [], 0, 0
+    for batch in batches:
+        held.append(batch)
+        lines += batch.num_rows
+        chars += batch.column("line").nbytes
+        if lines + batch.num_rows > PACKET_LINES or chars >= PACKET_CHARS:
+            yield pa.Table.from_batches(held)
+            held, lines, chars = [], 0, 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _send(windows: Windows, class_of: Callable[[int], int], buckets: int):
+    def rows(table: pa.Table) -> Iterator[tuple]:
+        names = table.column("line_key").to_numpy().astype(np.int64)
+        if not len(names):
+            return
+        # Distinct lines have distinct keys, so this tells packets apart.
+        packet = int(mix(np.array([mix(names.view(np.uint64)).sum(dtype=np.uint64)]))[0].view(np.int64))
+        keys, lines = keys_of(table.column("line").combine_chunks(), windows, class_of)
+        bucket, rest = _split(keys, buckets)
+        whole = (bucket << 32) | rest
+        order = np.argsort(whole)
+        whole, lines = whole[order], lines[order].astype(np.uint16)
+        bucket, rest = whole >> 32, (whole & 0xFFFFFFFF).astype(np.uint32)
+        new = np.ones(len(rest), dtype=bool)
+        new[1:] = whole[1:] != whole[:-1]
+        times = np.diff(np.append(np.flatnonzero(new), len(new)))
+        many = np.repeat(times > 1, times)
+        if many.any():
+            yield (_DIRECT, packet, packet, _joined(bucket[many], rest[many]).tobytes(), lines[many].tobytes(), b"")
+        yield (_NAMES, packet, packet, names.tobytes(), b"", b"")
+        many = times > 1
+        bucket, rest, lines = bucket[new], rest[new], lines[new]
+        edges = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            one = ~many[a:b]
+            yield (_COUNT, int(bucket[a]), packet, rest[a:b][one].tobytes(), lines[a:b][one].tobytes(),
+                   rest[a:b][~one].tobytes())
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _packets(batches):
+            found = list(rows(table))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(zip(*found, strict=True), _PACKED_ARROW, strict=True)],
+                schema=_PACKED_ARROW) if found else pa.RecordBatch.from_pylist([], _PACKED_ARROW)
+
+    return send
+
+
+def _meet(table: pa.Table) -> pa.Table:
+    """Of a bucket: its shared keys with their lines. Of a packet: what is known of it already."""
+    kind = table.column("kind")[0].as_py()
+    packets = table.column("packet").to_numpy()
+    raw = {c: table.column(c).to_pylist() for c in ("keys", "lines", "more")}
+    if kind == _NAMES:
+        names = [np.frombuffer(k, np.int64) for k in raw["keys"]]
+        sizes = [len(n) for n in names]
+        lines = np.concatenate([np.arange(n, dtype=np.int32) for n in sizes])
+        return _rows(kind, None, np.repeat(packets, sizes), lines, np.concatenate(names))
+    if kind == _DIRECT:
+        keys = [np.frombuffer(k, np.int64) for k in raw["keys"]]
+        lines = np.concatenate([np.frombuffer(x, np.uint16) for x in raw["lines"]])
+        return _rows(kind, np.concatenate(keys), np.repeat(packets, [len(k) for k in keys]), lines, None)
+    rest = [np.frombuffer(k, np.uint32) for k in raw["keys"]]
+    more = [np.frombuffer(k, np.uint32) for k in raw["more"]]
+    every = np.sort(np.concatenate([*rest, *more, *more]))
+    shared = np.unique(every[1:][every[1:] == every[:-1]])
+    owner = np.repeat(packets, [len(r) for r in rest])
+    rest = np.concatenate(rest)
+    lines = np.concatenate([np.frombuffer(x, np.uint16) for x in raw["lines"]])
+    hit = np.zeros(len(rest), dtype=bool)
+    if len(shared):
+        at = np.searchsorted(shared, rest)
+        at[at == len(shared)] = 0
+        hit = shared[at] == rest
+    return _rows(kind, _joined(table.column("bucket")[0].as_py(), rest[hit]), owner[hit], lines[hit], None)
+
+
+def _rows(kind: int, keys, packets: np.ndarray, lines: np.ndarray, names) -> pa.Table:
+    n = len(packets)
+    none = pa.nulls(n, pa.int64())
+    return pa.Table.from_arrays(
+        [pa.array(np.full(n, kind, np.int32)), none if keys is None else pa.array(keys),
+         pa.array(packets.astype(np.int64)), pa.array(lines.astype(np.int32)),
+         none if names is None else pa.array(names)], schema=_FOUND_ARROW)
+
+
+def shared_keys(lines: DataFrame, windows: Windows, class_of: Callable[[int], int]) -> DataFrame:
+    """The keys that more than one line enters (key, line_key); ``lines`` has distinct line_keys."""
+    rows = small_batches(lines).select("line_key", "line")
+    chars = int(rows.agg(F.sum(F.length("line"))).first()[0] or 0)
+    buckets = blocks_for(chars // CHARS_PER_KEY, BUCKET_KEYS)
+    packed = rows.mapInArrow(_send(windows, class_of, buckets), _PACKED)
+    found = stored(packed.groupBy("kind", "bucket").applyInArrow(_meet, _FOUND), "line-keys")
+    names = found.where(F.col("kind") == _NAMES).select("packet", "line", "line_key")
+    return found.where(F.col("kind") < _NAMES).select("key", "packet", "line").join(
+        names, ["packet", "line"]).select("key", "line_key")
+
+
+def within_errors(one: pa.Array, other: pa.Array, errors: np.ndarray) -> np.ndarray:
+    """Whether each pair of lines is within its number of errors (at most 31).
+
+    Bit d of register e is set after j characters of the second line if they match
+    the first j+d-errors characters of the first with at most e edits.
+    """
+    out = np.zeros(len(errors), dtype=bool)
+    sizes = np.maximum(*[pc.utf8_length(c).to_numpy(zero_copy_only=False) for c in (one, other)])
+    for allowed in np.unique(errors).tolist():
+        mine = np.flatnonzero(errors == allowed)
+        mine = mine[np.argsort(-sizes[mine])]
+        a = 0
+        while a < len(mine):
+            rows = mine[a:a + max(1, min(PAIRS, PAIR_CHARS // max(int(sizes[mine[a]]), 1)))]
+            out[rows] = _automaton(one.take(pa.array(rows)), other.take(pa.array(rows)), int(allowed))
+            a += len(rows)
+    return out
+
+
+def _automaton(one: pa.Array, other: pa.Array, errors: int) -> np.ndarray:
+    width = 2 * errors + 1
+    chars, starts = code_points(one)
+    letters, begins = code_points(other)
+    m, n = np.diff(starts), np.diff(begins)
+    near = np.abs(m - n) <= errors
+    # Characters before and after the first line match nothing.
+    longest = int(max(m.max(initial=0), n.max(initial=0)))
+    band = np.full((len(m), longest + 2 * width + 1), 0xFFFFFFFF, np.uint32)
+    row = np.repeat(np.arange(len(m)), m)
+    band[row, np.arange(len(chars)) - np.repeat(starts[:-1], m) + errors] = chars
+    full = np.uint64((1 << width) - 1)
+    bits = np.uint64(1) << np.arange(width, dtype=np.uint64)
+    registers = [np.full(len(m), (((1 << (e + 1)) - 1) << errors) & int(full), np.uint64) for e in range(errors + 1)]
+    out = near & (n == 0) & (m <= errors)
+    one_bit = np.uint64(1)
+    for j in range(int(n.max(initial=0))):
+        live = j < n
+        letter = letters[np.minimum(begins[:-1] + j, max(len(letters) - 1, 0))]
+        match = ((band[:, j:j + width] == letter[:, None]) * bits).sum(axis=1, dtype=np.uint64)
+        before = registers[0]
+        registers[0] = before & match
+        for e in range(1, errors + 1):
+            now = registers[e] & match
+            now |= before | (before >> one_bit)
+            before = registers[e]
+            registers[e] = now
+            now |= registers[e - 1] << one_bit
+            now &= full
+        last = live & (n == j + 1) & near
+        if last.any():
+            shift = np.where(last, m - n + errors, 0).astype(np.uint64)
+            out |= last & ((registers[errors] >> shift) & one_bit == one_bit)
+    return out
+
+
+def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of pairs (line_key, early_line, line, allowed): the line_keys of those within ``allowed`` errors."""
+    for batch in batches:
+        near = within_errors(batch.column("early_line"), batch.column("line"),
+                             batch.column("allowed").to_numpy(zero_copy_only=False).astype(np.int64))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("line_key").filter(pa.array(near))], names=["line_key"])
