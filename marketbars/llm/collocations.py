@@ -60,11 +60,11 @@ from marketbars.sinks import files
 THRESHOLD = 100
 LONGEST = 5
 TOP = 2000
-SHARDS = 3
+SHARDS = 2
 #: Slots of the table of each length; a power of two.
 SLOTS = 1 << 22
 #: Bytes of text that are counted at a time.
-RUN_BYTES = 4 << 20
+RUN_BYTES = 3 << 20
 #: Parts of a language that are ranked apart first.
 SALTS = 64
 #: Languages up to which their totals are broadcast.
