@@ -26,7 +26,7 @@ multiple of the number of parts; vectors of another length, or with an integer
 beyond ``LARGEST``, are returned with a null code and a null error and enter no
 codebook. Entries start from distinct vec_ids; of rows that share one, the smallest
 vector counts. Rows with a null vec_id are coded, and start no entry. Repeated rows
-each get their code. Fewer vec_ids than ``entries`` make smaller codebooks. An empty
+each get their code. Ids are whole numbers. Fewer of them than ``entries`` make smaller codebooks. An empty
 table gives an empty result. Only the three named columns are read.
 """
 
