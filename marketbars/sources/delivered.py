@@ -4,7 +4,7 @@ Beside a folder of files lies an index: for each file the smallest and the large
 tidy symbol, and a Bloom filter of all of them. It is written with the delivery, in one
 pass over its symbol column. A read of named symbols consults it first and opens only
 files that may hold one of them. A file without an entry is always read, so an index
-that is missing or behind costs time and no rows.
+that is missing or behind costs time and no rows. Files are not changed once delivered.
 """
 
 from __future__ import annotations
