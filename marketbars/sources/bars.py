@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from datetime import date
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,17 +38,19 @@ def daily_bars(
     price: str = "price",
     volume: Column | None = None,
     sequence: str | None = None,
+    sequence_range: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Resample ticks to one OHLCV row per symbol and day.
 
     One shuffle of pre-aggregated rows: a hot symbol or day collapses in the
     map tasks. Give ``sequence`` where ticks share a timestamp, and equal times
-    are broken by it. Timestamp and whole-number sequence are packed into one
-    decimal, so aggregate buffers are of fixed width and the aggregate hashes;
-    other types order by a struct, and it sorts instead.
+    are broken by it. This orders by a struct, so the aggregate sorts; with the
+    sequence's smallest and largest number as ``sequence_range``, less than 2^26
+    apart, time of day and sequence are packed into 64 bits, and it hashes. A
+    number outside the range fails the job.
     """
     symbol = F.col(symbol) if isinstance(symbol, str) else symbol
-    order = _moment(ticks, ts, sequence) if sequence else F.col(ts)
+    order = _moment(ticks, ts, sequence, sequence_range) if sequence else F.col(ts)
     volume = F.count(F.lit(1)) if volume is None else volume
     return (
         ticks.where(F.col(ts).isNotNull())
@@ -64,26 +65,28 @@ def daily_bars(
     )
 
 
-#: More than the values of a long sequence and null.
-_SEQUENCES = 2 * 10**19
+#: Bits of the microseconds of a day, one of 25 hours included.
+_DAY_BITS = 37
 
 
-def _moment(ticks: DataFrame, ts: str, sequence: str) -> Column:
-    """Orders ticks by time, then sequence, a null sequence first."""
+def _moment(ticks: DataFrame, ts: str, sequence: str, span: tuple[int, int] | None) -> Column:
+    """Orders the ticks of a day by time, then sequence, a null sequence first."""
     kind = ticks.schema[ts].dataType
-    if not isinstance(ticks.schema[sequence].dataType, T.IntegralType):
+    bits = 63 if span is None else (span[1] - span[0] + 1).bit_length()
+    if (_DAY_BITS + bits > 63 or not isinstance(ticks.schema[sequence].dataType, T.IntegralType)
+            or not isinstance(kind, (T.TimestampType, T.TimestampNTZType))):
         return F.struct(ts, sequence)
+    first, last = span
+    number = F.col(sequence).cast("bigint")
+    message = F.concat(F.lit(f"sequence outside {first} to {last}: "), number.cast("string"))
+    step = F.when(number.isNull(), F.lit(0)).when(number.between(first, last), number - (first - 1)).otherwise(
+        F.raise_error(message).cast("bigint"))
     if isinstance(kind, T.TimestampType):
-        micros = F.unix_micros(ts)
-    elif isinstance(kind, T.TimestampNTZType):
-        # Wall-clock time since 1970, whatever the session's zone.
-        since = F.expr(f"CAST({quote(ts)} - TIMESTAMP_NTZ '1970-01-01 00:00:00' AS INTERVAL SECOND)")
-        micros = (since.cast("decimal(24,6)") * 1_000_000).cast("bigint")
-    else:
-        return F.struct(ts, sequence)
-    first = F.lit(Decimal(-(1 << 63) - 1)).cast("decimal(20,0)")
-    step = F.coalesce(F.col(sequence).cast("decimal(20,0)"), first)
-    return micros.cast("decimal(18,0)") * F.lit(Decimal(_SEQUENCES)).cast("decimal(20,0)") + step
+        return (F.unix_micros(ts) - F.unix_micros(F.date_trunc("day", F.col(ts)))) * (1 << bits) + step
+    # Wall-clock times have no zone; their differences are counted in microseconds, as timestamps are.
+    time = F.col(ts) - F.to_date(ts).cast("timestamp_ntz")
+    moved = time * (1 << bits) + F.expr("INTERVAL '0.000001' SECOND") * step
+    return F.lit("1970-01-01").cast("timestamp_ntz") + moved
 
 
 def lookback(

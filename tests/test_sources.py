@@ -161,24 +161,26 @@ def test_tied_ticks_follow_their_sequence(spark):
     assert (row["open"], row["close"]) == (10.0, 30.0)
 
 
-def test_ticks_by_sequence_hash_and_order_as_a_struct_does(spark, tmp_path):
-    """Packed order equals the order of (time, sequence), a null sequence first, for all integer types."""
-    times = ["1960-02-03 04:05:06.000007", "1970-01-01 00:00:00", "1970-01-01 00:00:00.000001",
-             "2025-03-30 02:30:00", "2025-03-30 03:30:00", "9999-12-31 23:59:59.999999"]
+def test_ticks_by_a_ranged_sequence_hash_and_order_as_a_struct_does(spark, tmp_path):
+    """Packed order equals the order of (time, sequence), a null sequence first, for both kinds of time."""
+    times = ["1960-02-03 04:05:06.000007", "1960-02-03 04:05:06.000008", "1970-01-01 00:00:00",
+             "1970-01-01 00:00:00.000001", "2025-03-30 02:30:00", "2025-03-30 23:59:59.999999", "9999-12-31 12:00:00"]
+    low, high = -5, (1 << 26) - 7
     for kind in ("timestamp_ntz", "timestamp"):
-        for number, extremes in (("long", [-(1 << 63), (1 << 63) - 1]), ("int", [-(1 << 31), (1 << 31) - 1])):
-            data = [("A", t, q, float(i)) for i, (t, q) in enumerate(
-                (t, q) for t in times for q in [None, 0, 1, -1, *extremes])]
+        for number in ("long", "int"):
+            data = [("A", t, q, float(i)) for i, (t, q) in enumerate((t, q) for t in times for q in [1, None, low, 0, high])]
             frame = spark.createDataFrame(data, f"symbol string, ts string, seq {number}, price double")
             frame = frame.withColumn("ts", F.col("ts").cast(kind))
             frame.write.mode("overwrite").parquet(str(tmp_path / "ticks"))
             frame = spark.read.parquet(str(tmp_path / "ticks"))
-            got = daily_bars(frame, sequence="seq")
+            got = daily_bars(frame, sequence="seq", sequence_range=(low, high))
             assert "HashAggregate" in plan(got) and "SortAggregate" not in plan(got)
-            order = F.struct("ts", "seq")
-            want = frame.groupBy("symbol", F.to_date("ts").alias("date")).agg(
-                F.min_by("price", order).alias("open"), F.max_by("price", order).alias("close"))
-            assert rows(got.select("symbol", "date", "open", "close")) == rows(want)
+            want = daily_bars(frame, sequence="seq")
+            assert "SortAggregate" in plan(want) and rows(got) == rows(want)
+            wide = daily_bars(frame, sequence="seq", sequence_range=(-(1 << 63), (1 << 63) - 1))
+            assert rows(wide) == rows(want)
+            with pytest.raises(Exception, match="sequence outside"):
+                daily_bars(frame, sequence="seq", sequence_range=(0, high)).collect()
 
 
 def test_a_sequence_of_text_still_orders(spark):
