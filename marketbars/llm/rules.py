@@ -10,8 +10,8 @@ bounded sample. Statistics cover every character of every document; they are
 written once and read by the fit and by the scoring.
 
 Defined cases: null and empty texts have zero in every statistic and get the
-score of such a document. Labels that are null, or of unknown documents, are
-left out; repeated labels count as often as they occur. Without labels of both
+score of such a document. Labels that are null, neither 0 nor 1, or of unknown
+documents, are left out; repeated labels count as often as they occur. Without labels of both
 kinds every document scores the share of label 1 (one half without labels).
 Repeated ids are scored row by row. Extra columns pass through ``keep``.
 """
@@ -140,7 +140,7 @@ def _log_odds(share: float) -> float:
 def learning_rows(stats: DataFrame, labels: DataFrame, doc_id: str, key: str,
                   rows: int = FIT_ROWS) -> DataFrame:
     """Statistics of at most ``rows`` labelled documents, written down for the fit."""
-    known = labels.where(F.col("quality").isNotNull()).select(
+    known = labels.where(F.col("quality").isin(0, 1)).select(
         F.col(doc_id).alias("of_doc"), F.col("quality").cast("double").alias("label"))
     found = stats.join(known, F.col(key) == F.col("of_doc"))
     found = found.orderBy(F.xxhash64(F.lit(SEED), key), *STATISTICS, "label").limit(rows)
@@ -177,6 +177,6 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
 
 def _sampled(labels: DataFrame, doc_id: str, rows: int = FIT_ROWS) -> DataFrame:
     """At most ``rows`` labels (smallest id hashes): a few hundred kilobytes to broadcast."""
-    known = labels.where(F.col("quality").isNotNull() & F.col(doc_id).isNotNull())
+    known = labels.where(F.col("quality").isin(0, 1) & F.col(doc_id).isNotNull())
     return known.select(doc_id, "quality").orderBy(
         F.xxhash64(F.lit(SEED), doc_id), "quality").limit(rows)

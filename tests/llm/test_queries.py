@@ -204,3 +204,16 @@ def test_pipeline_equals_plain_python(spark, tmp_path):
     want = sorted(map(tuple, mixing.mix(frame).collect()))
     got = sorted(map(tuple, corpus_pipeline.run(spark, sf).collect()))
     assert got == want and got
+
+
+def test_quality_labels_other_than_0_and_1_are_left_out(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    odd = labels.selectExpr("doc_id", "CASE WHEN doc_id % 3 = 0 THEN 2 WHEN doc_id % 3 = 1 THEN NULL ELSE -1 END AS quality")
+    want, _ = rules.score(docs, labels)
+    got, _ = rules.score(docs, labels.select("doc_id", "quality").unionByName(odd))
+    assert {(r.doc_id, r.score) for r in got.collect()} == {(r.doc_id, r.score) for r in want.collect()}
+    assert rules.keep_good(docs, labels.select("doc_id", "quality").unionByName(odd)).count() == rules.keep_good(
+        docs, labels).count()
+    only, ensemble = rules.score(docs, odd)
+    assert not ensemble.weighted and {r.score for r in only.collect()} == {0.5}
