@@ -333,6 +333,65 @@ def test_forest_tells_outliers_and_calibrates():
     assert isolation.calibrated(good, bad[:0]) == float("inf")
 
 
+def statistics_table(spark, n, odd=()):
+    """Statistics of ``n`` usual documents and their features; those of ``odd`` ids have many symbols."""
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    words = rng.integers(60, 400, n)
+    counts = np.stack([words, words * 5 + rng.integers(0, 50, n), rng.integers(0, 4, n),
+                       rng.integers(0, 3, n), rng.integers(0, 20, n)], axis=1)
+    counts[list(odd), 2] = 300
+    frame = pd.DataFrame(counts, columns=isolation.COUNTS)
+    frame.insert(0, "doc_id", np.arange(n))
+    return spark.createDataFrame(frame), isolation.features(counts)
+
+
+def test_thresholds_take_every_label(spark, monkeypatch):
+    """The only low-quality documents of 21,000 are those of the largest id hashes."""
+    import numpy as np
+
+    monkeypatch.setattr(isolation, "TREES", 8)
+    monkeypatch.setattr(isolation, "SINGLE_TREES", 4)
+    n = 21_000
+    order = F.xxhash64(F.lit(isolation.SEED), "id").desc()
+    odd = [r.id for r in spark.range(n).orderBy(order).limit(5).collect()]
+    stats, rows = statistics_table(spark, n, odd)
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), (~F.col("id").isin(odd)).cast("int").alias("quality"))
+    over = np.flatnonzero(isolation.fit(stats, labels).excess(rows) > 0)
+    assert set(odd) <= set(over.tolist()) and len(over) < len(odd) + 0.002 * n
+
+
+def test_trees_count_every_document(spark):
+    """Nodes of trees grown on a table have the lengths that counting all rows gives."""
+    import numpy as np
+
+    stats, rows = statistics_table(spark, 9_000, odd=[17])
+    taken = [[0, 1, 2, 3], [1], [3]]
+    forest = isolation._grown(stats.repartition(3, "doc_id"), taken).forest()
+    for root, may in zip(forest.roots, taken, strict=True):
+        depth, below, todo = {root: 0}, {root: np.arange(len(rows))}, [root]
+        while todo:
+            node = todo.pop()
+            here = below[node]
+            share = len(here) * isolation.SUBSET / len(rows)
+            assert forest.length[node] == depth[node] + isolation._usual_path(share)
+            f = forest.feature[node]
+            if f < 0:
+                assert share <= 1 or depth[node] == isolation.LEVELS or not np.ptp(rows[here][:, may], axis=0).any()
+                continue
+            assert f in may and here.size
+            low = rows[here, f] < forest.value[node]
+            for child, part in ((forest.left[node], here[low]), (forest.right[node], here[~low])):
+                assert len(part)
+                depth[child], below[child] = depth[node] + 1, part
+                todo.append(child)
+    # Dealt otherwise, the table gives the same trees.
+    again = isolation._grown(stats.repartition(5), taken).forest()
+    assert np.array_equal(forest.value, again.value) and np.array_equal(forest.length, again.length)
+
+
 def test_judge_without_labels_uses_base_rules(spark, documents):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     got = {r.doc_id: r.kept for r in isolation.judge(
