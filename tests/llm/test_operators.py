@@ -247,6 +247,27 @@ def test_removed_lines_equal_brute_force(spark, monkeypatch, errors, hot):
     assert got == want
 
 
+def test_line_keys_are_dealt_once(spark, monkeypatch):
+    """One exchange of the keys, and none that counts on being reused: on large tables it was not."""
+    plans = {}
+
+    def stored(df, name):
+        found = df.sparkSession.createDataFrame(df.collect(), df.schema)
+        plans[name] = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        return found
+
+    monkeypatch.setattr(lines, "stored", stored)
+    rng = random.Random(6)
+    base = ["".join(rng.choice("abcdefgh") for _ in range(60)) for _ in range(30)]
+    docs = list(enumerate(base + [changed(rng, t, 2) for t in base]))
+    got = {r.doc_key for r in lines.removed_lines(
+        spark.createDataFrame(docs, "doc_id long, text string"), every=20).collect()}
+    assert got == {k for k, t in docs if any(
+        edits(t, m) <= min(len(t), len(m)) // 20 for _, m in docs[:k])}
+    keys = [line for line in plans["shared-keys"].splitlines() if "Exchange hashpartitioning(key#" in line]
+    assert len(keys) == 1
+
+
 def test_lines_within_one_edit_share_a_finer_hash(spark):
     rng = random.Random(4)
     pairs = [(a, changed(rng, a, 1)) for a in (
