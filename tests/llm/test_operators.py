@@ -268,6 +268,42 @@ def test_line_keys_are_dealt_once(spark, monkeypatch):
     assert len(keys) == 1
 
 
+@pytest.mark.parametrize("hot", [16, 1])
+def test_line_keys_are_dealt_in_parts(spark, monkeypatch, hot):
+    """Parts of bounded size, whose shuffle is gone before the next is dealt: equal to brute force in all lengths."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, names, real = spark.conf.get(setting), [], lines.stored
+
+    def stored(df, name):
+        names.append((name, spark.conf.get(setting)))
+        return real(df, name)
+
+    monkeypatch.setattr(lines, "stored", stored)
+    monkeypatch.setattr(lines, "KEYS_AT_ONCE", 12)
+    monkeypatch.setattr(lines, "HOT_LINES", hot)
+    rng = random.Random(13)
+    base = ["".join(rng.choice("abcdeé\U0001d4b3 ") for _ in range(rng.choice((24, 41, 59, 80, 119, 160, 240))))
+            for _ in range(25)]
+    found = base + [changed(rng, t, rng.randrange(1, 3 + len(t) // 20)) for t in base for _ in range(3)]
+    rng.shuffle(found)
+    docs = list(enumerate(found))
+    got = {r.doc_key for r in lines.removed_lines(
+        spark.createDataFrame(docs, "doc_id long, text string"), every=20).collect()}
+    assert got == {k for k, t in docs if len(t) >= 24 and any(
+        len(m) >= 24 and edits(t, m) <= max(1, min(len(t), len(m)) // 20) for _, m in docs[:k])}
+    parts = [removed for name, removed in names if name == "shared-keys"]
+    assert len(parts) >= 3
+    assert set(parts) == {"true"}
+    assert spark.conf.get(setting) == before
+
+
+def test_longer_lines_enter_a_shorter_class_by_their_own_segments(spark):
+    """Of two lines of unlike classes only the shorter one looks for moved segments."""
+    table = lines.window_table(spark, 479, 24, 1, 20).groupBy("class", "low").count().collect()
+    windows = {(r["class"], r["low"]): r["count"] for r in table}
+    assert windows[460, 440] < 0.5 * windows[440, 440]
+
+
 def test_lines_within_one_edit_share_a_finer_hash(spark):
     rng = random.Random(4)
     pairs = [(a, changed(rng, a, 1)) for a in (
