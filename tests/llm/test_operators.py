@@ -297,6 +297,62 @@ def test_line_keys_are_dealt_in_parts(spark, monkeypatch, hot):
     assert spark.conf.get(setting) == before
 
 
+def test_unlike_lines_shuffle_no_keys(spark, monkeypatch):
+    """Lines that meet no other are dealt as a few runs of letters; none of their hundred keys is shuffled or kept."""
+    rng = random.Random(21)
+    rows = [("".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(400, 440))),) for _ in range(60)]
+    kept, dealt, real_stored, real_runs = {}, [], lines.stored, lines.dealt_runs
+
+    def stored(df, name):
+        found = real_stored(df, name)
+        kept[name] = found.count()
+        return found
+
+    def dealt_runs(*given):
+        dealt.append(real_runs(*given))
+        return dealt[-1]
+
+    monkeypatch.setattr(lines, "stored", stored)
+    monkeypatch.setattr(lines, "dealt_runs", dealt_runs)
+    docs = [(k, t) for k, (t,) in enumerate(rows)]
+    assert lines.removed_lines(spark.createDataFrame(docs, "doc_id long, text string"), every=20).count() == 0
+    assert kept["shared-keys"] == 0
+    assert sum(df.count() for df in dealt) <= 8 * len(docs)
+
+
+def test_tables_between_steps_are_removed(spark, monkeypatch):
+    """Only the lines and the near ones stay on the disk, so later stages have it."""
+    tables, real = [], lines.stored
+
+    def stored(df, name):
+        tables.append((name, real(df, name)))
+        return tables[-1][1]
+
+    monkeypatch.setattr(lines, "stored", stored)
+    rng = random.Random(22)
+    base = ["".join(rng.choice("abcdefgh") for _ in range(90)) for _ in range(8)]
+    docs = list(enumerate(base + [changed(rng, t, 3) for t in base for _ in range(3)]))
+    gone = lines.removed_lines(spark.createDataFrame(docs, "doc_id long, text string"), every=20)
+    assert gone.count() == 24
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    there = {name for name, df in tables for f in df.inputFiles()
+             if hadoop(f).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop(f))}
+    assert there == {"lines", "near"}
+
+
+def test_lines_without_their_common_ends(spark):
+    rng = random.Random(23)
+    pairs = [("abc", "abc"), ("", "abc"), ("aaaa", "aa"), ("abcabc", "abc")]
+    for _ in range(200):
+        a = "".join(rng.choice("abé\U0001d4b3") for _ in range(rng.randrange(60)))
+        pairs.append((a, changed(rng, a, rng.randrange(4))))
+    found = spark.createDataFrame(pairs, "one string, other string").withColumn(
+        "left", lines.between(F.col("one"), F.col("other"))).collect()
+    for r in found:
+        assert edits(r.left.a, r.left.b) == edits(r.one, r.other)
+        assert not (r.left.a and r.left.b and (r.left.a[0] == r.left.b[0] or r.left.a[-1] == r.left.b[-1]))
+
+
 def test_longer_lines_enter_a_shorter_class_by_their_own_segments(spark):
     """Of two lines of unlike classes only the shorter one looks for moved segments."""
     table = lines.window_table(spark, 479, 24, 1, 20).groupBy("class", "low").count().collect()
